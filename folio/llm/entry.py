@@ -8,9 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folio.llm.common import table
+from folio.llm.mixing import mix, sized_documents
 from folio.llm.simhash import simhash_classes
 
 
+def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = mix(sized_documents(table(spark, sf_dir, "documents")))
+    return m.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = simhash_classes(table(spark, sf_dir, "documents"))
     return c.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -18,6 +24,7 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_mix_sources": op1_mix_sources,
         "op5_simhash": op5_simhash,
     }
 
