@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from folio.llm.common import table
 from folio.llm.mixing import mix, sized_documents
+from folio.llm.packing import pack
 from folio.llm.simhash import simhash_classes
 
 
@@ -17,6 +18,16 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def vocabulary_paths() -> tuple[str, str]:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), *vocabulary_paths())
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = simhash_classes(table(spark, sf_dir, "documents"))
     return c.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -25,6 +36,7 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mix_sources": op1_mix_sources,
+        "op3_best_fit_packing": op3_best_fit_packing,
         "op5_simhash": op5_simhash,
     }
 
