@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from folio.llm.common import table
 from folio.llm.mixing import mix, sized_documents
 from folio.llm.packing import pack
+from folio.llm.sharding import shard
 from folio.llm.simhash import simhash_classes
+from folio.llm.spans import dedup_spans
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,11 +35,21 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op7_extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard(table(spark, sf_dir, "documents"))
+
+
+def op10_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_spans(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mix_sources": op1_mix_sources,
         "op3_best_fit_packing": op3_best_fit_packing,
         "op5_simhash": op5_simhash,
+        "op7_extendible_sharding": op7_extendible_sharding,
+        "op10_sentence_spans": op10_sentence_spans,
     }
 
 
