@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from folio.llm.common import table
 from folio.llm.mixing import mix, sized_documents
 from folio.llm.packing import pack
+from folio.llm.pii import personal_data
 from folio.llm.sharding import shard
 from folio.llm.simhash import simhash_classes
 from folio.llm.spans import dedup_spans
@@ -20,6 +21,10 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(table(spark, sf_dir, "documents"))
+
+
 def vocabulary_paths() -> tuple[str, str]:
     import public_tokenizers
 
@@ -46,6 +51,7 @@ def op10_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mix_sources": op1_mix_sources,
+        "op2_personal_data": op2_personal_data,
         "op3_best_fit_packing": op3_best_fit_packing,
         "op5_simhash": op5_simhash,
         "op7_extendible_sharding": op7_extendible_sharding,
