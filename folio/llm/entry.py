@@ -14,6 +14,7 @@ from folio.llm.pii import personal_data
 from folio.llm.sharding import shard
 from folio.llm.simhash import simhash_classes
 from folio.llm.spans import dedup_spans
+from folio.llm.toxicity import toxicity
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,6 +36,10 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), *vocabulary_paths())
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = simhash_classes(table(spark, sf_dir, "documents"))
     return c.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -53,6 +58,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_mix_sources": op1_mix_sources,
         "op2_personal_data": op2_personal_data,
         "op3_best_fit_packing": op3_best_fit_packing,
+        "op4_toxicity": op4_toxicity,
         "op5_simhash": op5_simhash,
         "op7_extendible_sharding": op7_extendible_sharding,
         "op10_sentence_spans": op10_sentence_spans,
