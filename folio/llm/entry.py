@@ -14,6 +14,7 @@ from folio.llm.pii import personal_data
 from folio.llm.sharding import shard
 from folio.llm.simhash import simhash_classes
 from folio.llm.spans import dedup_spans
+from folio.llm.topk import exact_topk
 from folio.llm.toxicity import toxicity
 
 
@@ -45,6 +46,10 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op6_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_topk(table(spark, sf_dir, "embeddings"))
+
+
 def op7_extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(table(spark, sf_dir, "documents"))
 
@@ -60,10 +65,18 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_best_fit_packing": op3_best_fit_packing,
         "op4_toxicity": op4_toxicity,
         "op5_simhash": op5_simhash,
+        "op6_exact_topk": op6_exact_topk,
         "op7_extendible_sharding": op7_extendible_sharding,
         "op10_sentence_spans": op10_sentence_spans,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op6_exact_topk": """
+            WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS DOUBLE)) AS q FROM embeddings),
+            s AS (SELECT a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+                  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 20 = 0),
+            r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
+            SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20""",
+    }
