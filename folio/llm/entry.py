@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from folio.llm.capfilter import near_duplicates
 from folio.llm.common import table
 from folio.llm.mixing import mix, sized_documents
 from folio.llm.packing import pack
@@ -54,6 +55,10 @@ def op7_extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(table(spark, sf_dir, "documents"))
 
 
+def op8_spherical_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op10_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_spans(table(spark, sf_dir, "documents"))
 
@@ -67,6 +72,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_simhash": op5_simhash,
         "op6_exact_topk": op6_exact_topk,
         "op7_extendible_sharding": op7_extendible_sharding,
+        "op8_spherical_caps": op8_spherical_caps,
         "op10_sentence_spans": op10_sentence_spans,
     }
 
