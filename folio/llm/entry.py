@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from folio.llm.capfilter import near_duplicates
 from folio.llm.common import table
+from folio.llm.lm import language_scores
 from folio.llm.mixing import mix, sized_documents
 from folio.llm.packing import pack
 from folio.llm.pii import personal_data
@@ -59,6 +60,10 @@ def op8_spherical_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op9_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_scores(table(spark, sf_dir, "documents"))
+
+
 def op10_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_spans(table(spark, sf_dir, "documents"))
 
@@ -73,6 +78,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_exact_topk": op6_exact_topk,
         "op7_extendible_sharding": op7_extendible_sharding,
         "op8_spherical_caps": op8_spherical_caps,
+        "op9_log_bilinear": op9_log_bilinear,
         "op10_sentence_spans": op10_sentence_spans,
     }
 
