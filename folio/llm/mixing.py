@@ -123,7 +123,7 @@ def sized_documents(docs: DataFrame, *keep: str) -> DataFrame:
 
 def mix_documents(docs: DataFrame) -> DataFrame:
     """The documents themselves, each as often as the mix takes it; their columns only."""
-    rows = materialize(docs.withColumn("_rid", F.monotonically_increasing_id()))
-    copies = mix(sized_documents(rows, "_rid")).filter("copies > 0").select("_rid", "copies")
-    out = rows.join(copies, "_rid").withColumn("_k", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-    return out.select(*docs.columns)
+    rows = materialize(docs.select(F.monotonically_increasing_id().alias("_rid"), F.struct("*").alias("_row")))
+    copies = mix(sized_documents(rows.select("_rid", "_row.doc_id", "_row.text", "_row.source"), "_rid"))
+    taken = rows.join(copies.filter("copies > 0").select("_rid", F.col("copies").alias("_copies")), "_rid")
+    return taken.select("_row", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select("_row.*")

@@ -205,3 +205,13 @@ def simhash_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     low = named.groupBy("root").agg(F.min("rep").alias("component_id"))
     classes = materialize(named.join(low, "root").select("fp", "component_id"))
     return fps.join(classes, "fp").select("doc_id", "fp", "component_id")
+
+
+def without_near_copies(docs: DataFrame) -> DataFrame:
+    """One row of each class of near duplicates: that of the smallest id (nulls last), then the first in file order."""
+    rows = materialize(docs.select(F.monotonically_increasing_id().alias("_rid"), F.struct("*").alias("_row")))
+    classes = simhash_classes(rows.select("_rid", F.col("_row.text").alias("text")), "_rid")
+    own = rows.select(F.col("_rid").alias("doc_id"), F.col("_row.doc_id").alias("id"))
+    first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", F.col("doc_id").alias("_rid"))).alias("first")
+    kept = materialize(classes.join(own, "doc_id").groupBy("component_id").agg(first).select("first._rid"))
+    return rows.join(kept, "_rid", "left_semi").select("_row.*")
