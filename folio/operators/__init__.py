@@ -1,0 +1 @@
+"""Filters, unnesting, sub-document updates."""

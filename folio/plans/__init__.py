@@ -1,0 +1 @@
+"""Query model, builder, compiler and the translation of the older model."""

@@ -1,0 +1 @@
+"""Collections: scans, stored snapshots and their write verbs."""
