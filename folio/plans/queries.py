@@ -204,7 +204,7 @@ register("agg_array_key", order_items, Query(select=(*cols("flags"), agg(Aggrega
 
 # ---- sort and page -------------------------------------------------------------------------------
 
-register("sort_nulls", order_items, Query(select=_KEY, order_by=(SortKey(I("items")), SortKey(I("o_orderkey"))), page=Page(40)), "SELECT o_orderkey FROM orders LEFT JOIN (SELECT l_orderkey, list({'a': l_linenumber, 'b': l_quantity, 'c': l_returnflag, 'd': l_shipdate} ORDER BY l_linenumber) AS items FROM lineitem GROUP BY 1) ON o_orderkey = l_orderkey ORDER BY items NULLS FIRST, o_orderkey LIMIT 40")
+register("sort_nulls", order_items, Query(select=_KEY, order_by=(SortKey(I("flags")), SortKey(I("o_orderkey"))), page=Page(40)), f"SELECT o_orderkey FROM {_FLAGS} ORDER BY flags NULLS FIRST, o_orderkey LIMIT 40")
 register("sort_not_selected", "customer", Query(select=cols("c_name"), order_by=(SortKey(I("c_acctbal"), Order.DESC), SortKey(I("c_custkey"))), page=Page(25)), "SELECT c_name FROM customer ORDER BY c_acctbal DESC, c_custkey LIMIT 25")
 register("page_offset", "customer", Query(select=cols("c_custkey", "c_name"), order_by=(SortKey(I("c_custkey")),), page=Page(10, 20)), "SELECT c_custkey, c_name FROM customer ORDER BY c_custkey LIMIT 10 OFFSET 20")
 register("page_zero", "customer", Query(select=cols("c_custkey"), page=Page(0)), "SELECT c_custkey FROM customer LIMIT 0")
