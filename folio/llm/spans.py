@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from folio.llm.common import materialize
 
 RUN = 3
-#: Bits of the filter that spares unrepeated runs the second shuffle: 16 MB, whatever the input.
-FILTER_BITS = 1 << 27
+#: Bits of the filter that spares unrepeated runs the second shuffle: 2 MB, whatever the input.
+FILTER_BITS = 1 << 24
 #: A sentence ends after its closing marks and the white space behind them, or at a line end.
 SENTENCE = re.compile(r"(?:[^.!?\n]+|[.!?](?=[^\s.!?]))*(?:[.!?]+\s*|\n\s*|\Z)")
 
