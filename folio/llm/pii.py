@@ -116,12 +116,12 @@ def _tags(kind: int, name: str, said: Column, left: Column, right: Column, stric
     clear = (F.length(left) == 0) | left.rlike(r"[\s(\[:,;]$")
     after = (F.length(right) == 0) | right.rlike(r"^[\s)\],;:.!?]")
     against = left.rlike(AGAINST)
-    votes = [_vote(strict), _vote(canonical), _vote(listed), _vote(left.rlike(f"(?i){CUES[kind]}"), F.lit(False)), _vote(~against & F.lit(False), against), _vote(clear & after)]
+    loose = F.lit(name not in KINDS)  # the strict rule and the usual form say nothing of looser shapes
+    votes = [_vote(strict & ~loose, ~strict & ~loose), _vote(canonical & ~loose, ~canonical & ~loose), _vote(listed), _vote(left.rlike(f"(?i){CUES[kind]}"), F.lit(False)), _vote(~against & F.lit(False), against), _vote(clear & after)]
     more = [
         F.concat(F.lit("digits="), F.when(digits == 0, "0").when(digits < 9, "few").when(digits < 12, "phone").when(digits < 16, "long").when(digits == 16, "16").otherwise("more")),
         F.concat(F.lit("left="), F.when(F.length(left) == 0, "none").when(left.rlike(r"\s$"), "space").when(left.rlike(r"[A-Za-z]$"), "letter").when(left.rlike("[0-9]$"), "digit").otherwise("sign")),
         F.concat(F.lit("right="), F.when(F.length(right) == 0, "none").when(right.rlike(r"^\s"), "space").when(right.rlike("^[A-Za-z]"), "letter").when(right.rlike("^[0-9]"), "digit").otherwise("sign")),
-        F.lit(f"shape={name}"),
     ]
     return F.array(*[F.concat(F.lit(f"{i}="), v) for i, v in enumerate(votes)], *more)
 
@@ -138,13 +138,14 @@ def candidates(docs: DataFrame, text: Column) -> DataFrame:
 def fit(cands: DataFrame, rounds: int = 8) -> dict[tuple[int, str], float]:
     """Weights of the span classifier by (kind, feature); ``prior`` is the constant.
 
-    The histogram of (kind, features) has a bounded number of rows whatever the corpus; each
+    An abstaining labeler is no feature. The histogram of (kind, features) has a bounded number of rows whatever the corpus; each
     round of expectation-maximisation is one aggregation over it.
     """
     one = cands.select(F.explode("_cands").alias("c")).select("c.kind", "c.tags")
     cells = materialize(one.groupBy("kind", "tags").agg(F.count("*").alias("n")))
-    strict = F.element_at("tags", 1) == "0=1"
-    post = F.when(strict, 0.95).otherwise(0.25)
+    first = F.element_at("tags", 1)
+    shape = 0.2 + F.when(F.element_at("tags", 3) == "2=1", 0.2).otherwise(0.0) + F.when(F.element_at("tags", 4) == "3=1", 0.4).otherwise(0.0)
+    post = F.when(first == "0=1", 0.95).when(first == "0=0", 0.15).otherwise(shape)
     for _ in range(rounds):
         sums = []
         for i in range(VOTES):
@@ -161,14 +162,16 @@ def fit(cands: DataFrame, rounds: int = 8) -> dict[tuple[int, str], float]:
                 score = score + F.when(v == f"{i}=1", math.log(a / b)).when(v == f"{i}=0", math.log((1 - a) / (1 - b))).otherwise(0.0)
             logit = F.when(F.col("kind") == r["kind"], score).otherwise(logit)
         post = 1 / (1 + F.exp(-F.least(F.greatest(logit, F.lit(-30.0)), F.lit(30.0))))
-    soft = cells.withColumn("p", post).select("kind", (F.col("n") * F.col("p")).alias("y"), (F.col("n") * (1 - F.col("p"))).alias("no"), F.explode(F.concat(F.array(F.lit("prior")), "tags")).alias("tag"))
+    soft = cells.withColumn("p", post).select("kind", (F.col("n") * F.col("p")).alias("y"), (F.col("n") * (1 - F.col("p"))).alias("no"), F.explode(F.concat(F.array(F.lit("prior")), F.filter("tags", lambda t: ~t.endswith("=-")))).alias("tag"))
     rows = soft.groupBy("kind", "tag").agg(F.sum("y").alias("y"), F.sum("no").alias("no")).collect()  # a few dozen features
     prior = {r["kind"]: (r["y"], r["no"]) for r in rows if r["tag"] == "prior"}
     out = {}
     for r in rows:
         y, no = prior[r["kind"]]
-        both = math.log((r["y"] + 1) / (r["no"] + 1))
-        out[r["kind"], r["tag"]] = both if r["tag"] == "prior" else both - math.log((y + 2) / (no + 2))
+        part = y / (y + no)  # a feature seen once or twice says what the kind says
+        both = math.log((r["y"] + part + 1e-3) / (r["no"] + 1 - part + 1e-3))
+        # candidates of the base rules are mostly good; that alone must not carry a looser one
+        out[r["kind"], r["tag"]] = min(both, 1.0) if r["tag"] == "prior" else both - math.log((y + 1e-3) / (no + 1e-3))
     return out
 
 
