@@ -153,8 +153,9 @@ def features(text: str, matcher: Matcher, cache: dict, weights: list[float]) ->
         before, after = low[max(0, a - 120) : a], low[b : b + 120]
         marks = sum(map(before.count, QUOTES))
         quoted = (marks % 2 == 1 and any(q in after for q in QUOTES)) or bool(said and marks)
+        worth = weights[term] / (1 + 0.25 * dist)
         kind = 2 if quoted else 1 if dist else 0
-        best[kind] = max(best[kind], weights[term] / (1 + 0.5 * dist))
+        best[kind] = max(best[kind], worth)
         count[kind] += 1
         hits.append((term, dist))
         near += not quoted and (k > 0 and i - spots[k - 1][0] <= WINDOW)
@@ -182,12 +183,12 @@ class Cache(dict):
 PRIOR = np.array([-3.0, 1.5, 0.8, 1.2, 0.6, 0.3, 0.1, 0.3])
 
 
-def logistic(x: np.ndarray, y: np.ndarray, rounds: int = 50) -> np.ndarray:
-    """Newton steps towards the labels, held to ``PRIOR``."""
-    theta, hold = PRIOR.copy(), np.array([0.05, *[1.0] * (len(PRIOR) - 1)])
+def logistic(x: np.ndarray, y: np.ndarray, prior: np.ndarray = PRIOR, rounds: int = 50) -> np.ndarray:
+    """Newton steps towards the labels, held to ``prior``."""
+    theta, hold = prior.copy(), np.array([0.05, *[0.3] * (len(prior) - 1)])
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ theta, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(hold), x.T @ (y - p) - hold * (theta - PRIOR))
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(hold), x.T @ (y - p) - hold * (theta - prior))
         theta = theta + step
         if np.abs(step).max() < 1e-8:
             break
@@ -243,7 +244,11 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
 
     got = rows.mapInArrow(measure, "x array<double>, y int").collect()  # at most MAX_LABELLED rows
     x = np.array([r["x"] for r in got], float).reshape(-1, len(PRIOR))
-    theta = logistic(x, np.array([r["y"] for r in got], float)) if len(x) else PRIOR
+    y = np.array([r["y"] for r in got], float)
+    theta = PRIOR
+    if len(x):  # misspelled hits weigh like plain ones as far as the data don't say otherwise
+        plain = logistic(x, y)
+        theta = logistic(x, y, np.concatenate([plain[:3], 0.9 * np.maximum(plain[1:3], 0), PRIOR[5:]]))
     return {"terms": names, "weights": weights, "theta": theta.tolist()}
 
 
