@@ -70,7 +70,7 @@ def tilts(sized: DataFrame, targets: DataFrame, cap: int = 2, rounds: int = 80)
     return state.select("src", "scale", "tilt")
 
 
-def mix(sized: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, cap: int = 2, repairs: int = 4) -> DataFrame:
+def mix(sized: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, cap: int = 2, repairs: int = 8) -> DataFrame:
     """Whole copies of each document: adds ``source_size``, ``target`` and ``copies`` (0 to ``cap``).
 
     ``sized`` is a materialised narrow table with ``src``, ``size`` and ``doc_id``; other columns
