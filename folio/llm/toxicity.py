@@ -183,15 +183,23 @@ class Cache(dict):
 PRIOR = np.array([-3.0, 1.5, 0.8, 1.2, 0.6, 0.3, 0.1, 0.3])
 
 
-def logistic(x: np.ndarray, y: np.ndarray, prior: np.ndarray = PRIOR, rounds: int = 50) -> np.ndarray:
-    """Newton steps towards the labels, held to ``prior``."""
+def logistic(x: np.ndarray, y: np.ndarray, prior: np.ndarray = PRIOR, rounds: int = 100) -> np.ndarray:
+    """Newton steps towards the labels, held to ``prior`` and halved until they lower the loss."""
     theta, hold = prior.copy(), np.array([0.05, *[0.3] * (len(prior) - 1)])
+
+    def loss(t: np.ndarray) -> float:
+        z = x @ t
+        return float((np.logaddexp(0, z) - y * z).sum() + (hold * (t - prior) ** 2).sum() / 2)
+
+    now = loss(theta)
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ theta, -30, 30)))
         step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(hold), x.T @ (y - p) - hold * (theta - prior))
-        theta = theta + step
-        if np.abs(step).max() < 1e-8:
+        while (then := loss(theta + step)) > now and np.abs(step).max() > 1e-9:
+            step = step / 2
+        if then > now or np.abs(step).max() < 1e-8:
             break
+        theta, now = theta + step, then
     return theta
 
 
