@@ -91,4 +91,12 @@ def oracle_sql() -> dict[str, str]:
                   FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 20 = 0),
             r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
             SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20""",
+        "op8_spherical_caps": """
+            WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+            link AS (SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+                     WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+            reach(x, y) AS (SELECT vec_id, vec_id FROM v UNION SELECT r.x, l.y FROM reach r JOIN link l ON r.y = l.x)
+            SELECT v.vec_id, CAST((SELECT count(*) FROM link WHERE x = v.vec_id) AS BIGINT) AS n_links,
+                   min(r.y) AS component_id, min(r.y) = v.vec_id AS kept
+            FROM v JOIN reach r ON r.x = v.vec_id GROUP BY v.vec_id""",
     }
