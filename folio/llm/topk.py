@@ -77,11 +77,13 @@ def exact_topk(vectors: DataFrame, k: int = 20, modulo: int = 20) -> DataFrame:
         for b in batches:
             m = _matrix(b.column(0), width)
             g += m.T @ m
-        yield pa.RecordBatch.from_arrays([pa.array([g.tobytes()], pa.binary())], names=["g"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(width * width)), pa.array(g.ravel())], names=["cell", "v"])
 
-    # one width x width matrix per task
-    parts = ranged.select("q").coalesce(64).mapInArrow(gram, "g binary").toLocalIterator()
-    total = sum((np.frombuffer(r["g"]).reshape(width, width) for r in parts), np.zeros((width, width)))
+    # summed on the executors: width x width cells reach the driver, however many tasks there are
+    cells = ranged.select("q").mapInArrow(gram, "cell long, v double").groupBy("cell").agg(F.sum("v").alias("v")).toArrow()
+    total = np.zeros(width * width)
+    total[cells["cell"].to_numpy()] = cells["v"].to_numpy()
+    total = total.reshape(width, width)
     turn = np.linalg.eigh(total)[1][:, ::-1].copy()  # right singular vectors of all rows, strongest first
     lead = max(1, width // 4)
     seed = ranged.orderBy(F.col("norm").desc(), "vec_id").limit(SEED_ROWS).toArrow()
