@@ -80,13 +80,13 @@ def _found(df: DataFrame, name: str) -> DataFrame:
     df = df.withColumn("_d", F.zip_with(F.slice(g, F.lit(1), F.size(m)), m, lambda a, b: (F.length(a) + F.length(b)).cast("long")))
     df = df.withColumn("_s", F.when(F.size(m) > 0, _prefix_sums(F.col("_d"))).otherwise(F.array().cast("array<bigint>")))
 
-    def span(i: Column) -> Column:
+    def span(before: Column, i: Column) -> Column:
         said, left, right = F.get(m, i), F.right(F.get(g, i), F.lit(24)), F.left(F.get(g, i + 1), F.lit(2))
-        start = F.get(F.col("_s"), i) + F.length(F.get(g, i))
+        start = before + F.length(F.get(g, i))
         strict = _valid(kind, said) if name in KINDS else F.lit(False)
         return F.struct(start.alias("start"), F.lit(kind).alias("kind"), (start + F.length(said)).alias("end"), strict.alias("strict"), _tags(kind, name, said, left, right, strict).alias("tags"))
 
-    spans = F.when(F.size(m) > 0, F.transform(F.sequence(F.lit(0), F.size(m) - 1), span))
+    spans = F.transform("_s", span)
     empty = F.array().cast("array<struct<start:bigint,kind:int,end:bigint,strict:boolean,tags:array<string>>>")
     least = {"card": 12}.get(name, 1)
     kept = F.filter(F.coalesce(spans, empty), lambda s: s["end"] - s["start"] >= least)
@@ -219,8 +219,10 @@ def redact(docs: DataFrame) -> DataFrame:
     Overlapping spans are covered by the first one's mark. Null texts stay null.
     """
     packed = docs.select(F.struct("*").alias("_row"))
-    found = candidates(packed, F.col("_row.text"))
-    df = decide(found, fit(found)).withColumn("_ends", F.transform("_spans", lambda s: s["end"]))
+    # written once: the fit reads the candidates alone, and each half stays small enough to compile well
+    found = materialize(candidates(packed, F.col("_row.text")).select("_row", "_cands"))
+    df = decide(found, fit(found)).withColumn("_text", F.coalesce(F.col("_row.text").cast("string"), F.lit("")))
+    df = df.withColumn("_ends", F.transform("_spans", lambda s: s["end"]))
     marks = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
     before = lambda i: F.coalesce(F.array_max(F.slice("_ends", F.lit(1), i)), F.lit(0))
 
