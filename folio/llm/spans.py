@@ -14,10 +14,15 @@ from pyspark.sql import functions as F
 from folio.llm.common import materialize
 
 RUN = 3
+#: Runs of fewer than ``RUN`` sentences count where they have so many words.
+PASSAGE = 50
 #: Bits of the filter that spares unrepeated runs the second shuffle: 2 MB, whatever the input.
 FILTER_BITS = 1 << 24
-#: A sentence ends after its closing marks and the white space behind them, or at a line end.
-SENTENCE = re.compile(r"(?:[^.!?\n]+|[.!?](?=[^\s.!?]))*(?:[.!?]+\s*|\n\s*|\Z)")
+#: A sentence ends after its closing marks and the white space behind them, or at a line end. CJK marks need no white space.
+SENTENCE = re.compile(r"(?:[^.!?。！？｡\n]+|[.!?](?=[^\s.!?。！？｡]))*(?:[.!?。！？｡]+(?:(?<=[。！？｡])[」』”’）]+)?\s*|\n\s*|\Z)")
+#: Scripts without spaces between words: each sign counts as a word.
+CJK = "\u3005-\u3007\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+ANY_CJK, WORDS = re.compile(f"[{CJK}]"), re.compile(rf"[{CJK}]|[^\s{CJK}]+")
 
 
 def sentences(text: str) -> list[str]:
@@ -25,16 +30,24 @@ def sentences(text: str) -> list[str]:
     return [m for m in SENTENCE.findall(text) if m]
 
 
-def run_keys(parts: list[str], width: int = RUN) -> list[tuple[int, bytes]]:
-    """(first sentence, 128-bit key) of every run of ``width`` consecutive sentences that have words.
+def run_keys(parts: list[str], width: int = RUN) -> list[tuple[int, int, bytes]]:
+    """(first, past last, 128-bit key) of every run, as places among the sentences that have words.
 
-    Case and white space don't count. A text with fewer sentences has no run.
+    Runs are ``width`` consecutive sentences, fewer of them where they have ``PASSAGE`` words, and all
+    sentences of a text that has fewer than ``width``. Case and white space don't count.
     """
-    said = [(i, xxhash.xxh3_128_digest(" ".join(s.lower().split()))) for i, s in enumerate(parts) if s.strip()]
-    return [(said[k][0], xxhash.xxh3_128_digest(b"".join(d for _, d in said[k : k + width]))) for k in range(len(said) - width + 1)]
-
-
-def _keys(b: pa.RecordBatch, i: int, width: int) -> list[tuple[int, bytes]]:
+    digests, upto = [], [0]
+    for s in parts:
+        if words := s.lower().split():
+            digests.append(xxhash.xxh3_128_digest(" ".join(words)))
+            upto.append(upto[-1] + (len(words) if s.isascii() or not ANY_CJK.search(s) else len(WORDS.findall(s))))
+    n = len(digests)
+    spans = [(k, k + w) for w in range(1, width) for k in range(n - w + 1) if upto[k + w] - upto[k] >= PASSAGE or w == n]
+    spans += [(k, k + width) for k in range(n - width + 1)]
+    return [(k, to, xxhash.xxh3_128_digest(b"".join(digests[k:to]))) for k, to in spans]
+
+
+def _keys(b: pa.RecordBatch, i: int, width: int) -> list[tuple[int, int, bytes]]:
     return run_keys(sentences(b.column(2)[i].as_py() or ""), width)
 
 
@@ -47,7 +60,7 @@ def _emit(rows: list[tuple[int, int | None]], keys: list[bytes]) -> pa.RecordBat
 def dedup_spans(docs: DataFrame, width: int = RUN) -> DataFrame:
     """``doc_id``, ``n_sentences``, ``n_removed``, ``removed`` (sentence places from 0) and the ``text`` left.
 
-    A run of ``width`` sentences that occurs more than once in the corpus is kept where it comes
+    A run of sentences (see ``run_keys``) that occurs more than once in the corpus is kept where it comes
     first (smallest id, then file order, then place); every sentence that another occurrence covers
     is removed. Null and empty texts have no sentences and stay as they are; repeated rows are
     occurrences like any other; a null id comes last. Extra columns are ignored.
@@ -62,7 +75,7 @@ def dedup_spans(docs: DataFrame, width: int = RUN) -> DataFrame:
         for b in batches:
             owners, keys = [], []
             for i in range(b.num_rows):
-                own = dict.fromkeys(k for _, k in _keys(b, i, width))
+                own = dict.fromkeys(k for _, _, k in _keys(b, i, width))
                 doc = b.column(1)[i].as_py()
                 owners += [(b.column(0)[i].as_py(), last if doc is None else doc)] * len(own)
                 keys += own
@@ -103,9 +116,9 @@ def dedup_spans(docs: DataFrame, width: int = RUN) -> DataFrame:
                 mine: set[bytes] = set()
                 said = [k for k, s in enumerate(parts) if s.strip()]
                 off: set[int] = set()
-                for k, (_, key) in enumerate(run_keys(parts, width)):
+                for k, to, key in run_keys(parts, width):
                     if key in gone or key in mine:
-                        off.update(said[k : k + width])
+                        off.update(said[k:to])
                     mine.add(key)
                 left = text if not off else "".join(s for k, s in enumerate(parts) if k not in off)
                 out.append((b.column(1)[i].as_py(), len(said), len(off), sorted(off), left))

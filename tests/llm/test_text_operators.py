@@ -375,6 +375,20 @@ def test_spans_keep_the_first(spark, docs, no_docs):
     assert {(5, False), (200, True), (3, False), (100, True)} <= gone and (200, False) not in gone
 
 
+def test_spans_cut_long_sentences_and_short_texts(spark):
+    """Passages of one or two long sentences inside other texts, and copies of short texts, also in CJK."""
+    one, half = " ".join(f"w{i}" for i in range(55)) + ". ", " ".join(f"v{i}" for i in range(28))
+    two, few = half.capitalize() + ". " + half + " x. ", " ".join(f"u{i}" for i in range(20)) + ". "
+    han = "".join(chr(0x4E00 + 7 * i) for i in range(60)) + "。"
+    texts = ["First own. " + one + "Then a. Then b.", "Second own. " + one + "Then c. Then d.", "Third own. " + two + "Then e. ", "Fourth own. " + two + "Then f. "]
+    texts += ["No marks here", "no  marks here", "One. Two.", "One. Two.", "Lead. No marks here. Own tail.", "Own a. " + few + "Own b. ", "Own c. " + few + "Own d. "]
+    texts += ["甲乙。" + han + "丙丁。", "戊己。" + han + "庚辛！", "天地。玄黄。", "天地。玄黄。"]
+    got = {r["doc_id"]: r for r in spans.dedup_spans(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    want = {1: ("Second own. Then c. Then d.", [1]), 3: ("Fourth own. Then f. ", [1, 2]), 5: ("", [0]), 7: ("", [0, 1]), 12: ("戊己。庚辛！", [1]), 14: ("", [0, 1])}
+    for i, t in enumerate(texts):
+        assert (got[i]["text"], got[i]["removed"]) == want.get(i, (t, [])), i
+
+
 def test_sentences_join_to_the_text():
     for t in ("", "a", "A b. C d!\n\nE f?G h... i", "x.y 3.14 z.", "\n\n", "!!! ?", "é. ü\n"):
         assert "".join(spans.sentences(t)) == t
