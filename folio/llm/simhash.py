@@ -55,9 +55,8 @@ def xxh64_slices(buf: np.ndarray, start: np.ndarray, length: np.ndarray, seed: i
     return out
 
 
-def fingerprints(texts: list[bytes], width: int = 3) -> np.ndarray:
-    """One 64-bit SimHash per text: lower-cased A-Z, ``width``-word shingles, majority of XXH64 bits."""
-    out = np.zeros(len(texts), U)
+def shingle_hashes(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """XXH64 of every ``width``-word shingle (A-Z lower-cased) in order; the texts that have any; how many each has."""
     raw = LOWER[np.frombuffer(b" ".join([*texts, b""]), np.uint8)]
     gap = SPACE[raw]
     first = ~gap
@@ -67,8 +66,8 @@ def fingerprints(texts: list[bytes], width: int = 3) -> np.ndarray:
     keep = ~gap
     keep[1:] |= gap[1:] & ~gap[:-1]
     norm = raw[keep]
-    if not len(norm):
-        return out
+    if not words.any():
+        return np.zeros(0, U), np.zeros(0, np.int64), np.zeros(0, np.int64)
     sep = SPACE[norm]
     norm[sep] = 0x20
     begin = np.flatnonzero(np.concatenate([[True], sep[:-1]]))
@@ -80,7 +79,16 @@ def fingerprints(texts: list[bytes], width: int = 3) -> np.ndarray:
     seg = np.concatenate([[0], np.cumsum(n)[:-1]])
     i = np.arange(n.sum()) - np.repeat(seg - at_word[has], n)
     last = i + np.repeat(np.minimum(words[has], width) - 1, n)
-    h = xxh64_slices(norm, begin[i], stop[last] - begin[i])
+    return xxh64_slices(norm, begin[i], stop[last] - begin[i]), has, n
+
+
+def fingerprints(texts: list[bytes], width: int = 3) -> np.ndarray:
+    """One 64-bit SimHash per text: lower-cased A-Z, ``width``-word shingles, majority of XXH64 bits."""
+    out = np.zeros(len(texts), U)
+    h, has, n = shingle_hashes(texts, width)
+    if not len(has):
+        return out
+    seg = np.concatenate([[0], np.cumsum(n)[:-1]])
     # eight bits at a time in the bytes of a word, in runs short enough not to overflow a byte
     cuts = np.unique(np.concatenate([seg, *(s + np.arange(255, c, 255) for s, c in zip(seg, n, strict=True) if c > 255)]))
     owner = np.searchsorted(seg, cuts, side="right") - 1
@@ -93,18 +101,23 @@ def fingerprints(texts: list[bytes], width: int = 3) -> np.ndarray:
     return out
 
 
+def text_chunks(column: pa.Array, chunk_bytes: int = 4 << 20) -> Iterator[tuple[int, list[bytes]]]:
+    """(first row, texts) of bounded chunks; a null is the empty text."""
+    texts = [t or b"" for t in column.cast(pa.binary()).to_pylist()]
+    at = 0
+    while at < len(texts):
+        to, size = at, 0
+        while to < len(texts) and (to == at or size + len(texts[to]) <= chunk_bytes):
+            size += len(texts[to])
+            to += 1
+        yield at, texts[at:to]
+        at = to
+
+
 def fingerprint_batches(batches: Iterator[pa.RecordBatch], chunk_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """(id, text) batches to (id, fp) batches, in bounded chunks of text."""
     for b in batches:
-        texts = [t or b"" for t in b.column(1).cast(pa.binary()).to_pylist()]
-        fps, at = np.zeros(len(texts), U), 0
-        while at < len(texts):
-            to, size = at, 0
-            while to < len(texts) and (to == at or size + len(texts[to]) <= chunk_bytes):
-                size += len(texts[to])
-                to += 1
-            fps[at:to] = fingerprints(texts[at:to])
-            at = to
+        fps = np.concatenate([np.zeros(0, U), *(fingerprints(texts) for _, texts in text_chunks(b.column(1), chunk_bytes))])
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
 
 
@@ -208,10 +221,12 @@ def simhash_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def without_near_copies(docs: DataFrame) -> DataFrame:
-    """One row of each class of near duplicates: that of the smallest id (nulls last), then the first in file order."""
+    """One row of each class of near copies (five-word shingles, similarity 0.8): that of the smallest id (nulls last), then the first in file order."""
+    from folio.llm.nearcopies import near_copy_classes
+
     rows = materialize(docs.select(F.monotonically_increasing_id().alias("_rid"), F.struct("*").alias("_row")))
-    classes = simhash_classes(rows.select("_rid", F.col("_row.text").alias("text")), "_rid")
-    own = rows.select(F.col("_rid").alias("doc_id"), F.col("_row.doc_id").alias("id"))
-    first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", F.col("doc_id").alias("_rid"))).alias("first")
-    kept = materialize(classes.join(own, "doc_id").groupBy("component_id").agg(first).select("first._rid"))
+    classes = near_copy_classes(rows.select(F.col("_rid").alias("rid"), F.col("_row.text").cast("string").alias("text")))
+    own = rows.select(F.col("_rid").alias("rid"), F.col("_row.doc_id").alias("id"))
+    first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", F.col("rid").alias("_rid"))).alias("first")
+    kept = materialize(classes.join(own, "rid").groupBy("root").agg(first).select("first._rid"))
     return rows.join(kept, "_rid", "left_semi").select("_row.*")

@@ -271,6 +271,32 @@ def test_simhash_classes(docs, no_docs):
     assert simhash.simhash_classes(no_docs).count() == 0
 
 
+@pytest.mark.parametrize("block", [512, 3])
+def test_stage_drops_near_copies_at_similarity(spark, monkeypatch, block):
+    """Copies with one to twelve words changed, against all pairs of five-word shingle sets."""
+    from folio.llm import nearcopies
+
+    monkeypatch.setattr(nearcopies, "BLOCK", block)
+    rng, texts = np.random.default_rng(3), []
+    for _ in range(20):
+        own = [f"w{x}" for x in rng.integers(0, 10**6, 200)]
+        for changes in (0, 1, 2, 3, 4, 4, 5, 8, 12):
+            said = list(own)
+            for k in rng.integers(0, 200, changes):
+                said[k] = f"x{rng.integers(0, 10**6)}"
+            texts.append(" ".join(said))
+    texts += [None, "", " ", "a b", "A  b", "a b c"]
+    sets = [{" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in ((t or "").lower().split() for t in texts)]
+    root = list(range(len(sets)))
+    for i in range(len(sets)):
+        for j in range(i):
+            if root[i] != root[j] and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                root = [root[j] if x == root[i] else x for x in root]
+    low = {r: min(i for i in range(len(root)) if root[i] == r) for r in set(root)}
+    got = simhash.without_near_copies(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3))
+    assert sorted(r["doc_id"] for r in got.collect()) == sorted(low.values())
+
+
 @pytest.mark.parametrize("hot", [10_000, 2])
 def test_links_connect_like_all_pairs(spark, monkeypatch, hot):
     """Clusters around random centres; a low limit sends every shared bucket down the block route."""
