@@ -21,7 +21,8 @@ SMOOTH = 0.1
 #: Words that are units of their own, and words whose counts every task holds (each of at most ``SHORT`` bytes).
 OWN_UNITS, HEAD, SHORT = 96, 131_072, 64
 END = b" "  # no word holds white space
-WIDTH, NOISE, STEPS, BATCH = 32, 12, 700, 4096
+#: Training goes ``PASSES`` times over all contexts that occur, ``BATCH`` of them at a time.
+WIDTH, NOISE, PASSES, BATCH = 32, 12, 100, 512
 
 
 def held_out(doc_id: Column) -> Column:
@@ -92,34 +93,35 @@ class LogBilinear:
             self._train(rng, cells, n.astype(float), single / single.sum())
 
     def _train(self, rng: np.random.Generator, cells: np.ndarray, n: np.ndarray, noise: np.ndarray) -> None:
-        upto, noisy = np.cumsum(n), np.cumsum(noise)
+        """Noise-contrastive estimation over all cells by their counts; noise enters by its expectation, so nothing is drawn."""
+        heads, place = np.unique(cells // self.count, return_inverse=True)
+        seen = np.zeros((len(heads), self.count))
+        np.add.at(seen, (place, cells % self.count), n)
+        wrong = seen.sum(1, keepdims=True) * (NOISE * noise)
         squares = [np.full_like(p, 1e-2) for p in (self.r, self.q, self.c, self.b)]
         lift = np.log(NOISE * noise)
-        for step in range(STEPS):
-            pick = cells[np.minimum(np.searchsorted(upto, rng.random(BATCH) * upto[-1], side="right"), len(cells) - 1)]
-            h1, h2, true = pick // self.count**2, pick // self.count % self.count, pick % self.count
-            wrong = np.minimum(np.searchsorted(noisy, rng.random((BATCH, NOISE)) * noisy[-1], side="right"), self.count - 1)
-            seen = np.concatenate([true[:, None], wrong], 1)
+        parts = -(-len(heads) // BATCH)
+        for step in range(PASSES * parts):
+            if step % parts == 0:
+                turns = np.array_split(rng.permutation(len(heads)), parts)
+            at = turns[step % parts]
+            h1, h2 = heads[at] // self.count, heads[at] % self.count
             ctx = self.r[h1] @ self.c[0].T + self.r[h2] @ self.c[1].T
-            delta = np.einsum("bd,bkd->bk", ctx, self.q[seen]) + self.b[seen] - lift[seen]
-            err = -1 / (1 + np.exp(-delta))
-            err[:, 0] += 1  # the true word against noise
-            # one dense row per context position: errors by unit
-            table = np.zeros((BATCH, self.count))
-            np.add.at(table, (np.arange(BATCH)[:, None], seen), err)
+            true = 1 / (1 + np.exp(-(ctx @ self.q.T + self.b - lift)))
+            table = seen[at] * (1 - true) - wrong[at] * true  # errors by context and unit
             dctx = table @ self.q
-            hot = [np.zeros((self.count, BATCH)) for _ in range(2)]
-            hot[0][h1, np.arange(BATCH)] = 1
-            hot[1][h2, np.arange(BATCH)] = 1
+            hot = [np.zeros((self.count, len(at))) for _ in range(2)]
+            hot[0][h1, np.arange(len(at))] = 1
+            hot[1][h2, np.arange(len(at))] = 1
             grads = (
                 hot[0] @ (dctx @ self.c[0]) + hot[1] @ (dctx @ self.c[1]),
                 table.T @ ctx,
                 np.stack([dctx.T @ self.r[h1], dctx.T @ self.r[h2]]),
                 table.sum(0),
             )
-            rate = 0.3 * (1 - step / STEPS) + 0.01
+            rate = 0.3 * (1 - step / (PASSES * parts)) + 0.01
             for p, g, s in zip((self.r, self.q, self.c, self.b), grads, squares, strict=True):
-                g /= BATCH
+                g /= n.sum() / parts
                 s += g * g
                 p += rate * g / np.sqrt(s)
 

@@ -382,6 +382,15 @@ def test_model_is_normalised_and_learns():
         assert 0 <= lm.form_of(w) < lm.FORMS
 
 
+def test_language_model_trains_on_every_cell():
+    """The words before a trigram move however rare it is among the rest."""
+    count = 20
+    cells = np.array([(1 * count + 2) * count + 3, *((k * count + k) * count + 4 for k in range(5, 20))])
+    model = lm.LogBilinear(count, cells, np.array([10**12, *[1] * 15]))
+    start = np.random.default_rng(5).normal(0, 0.1, (count, lm.WIDTH))
+    assert (model.r != start).any(1)[5:].all()
+
+
 # ---- sentence spans
 
 
