@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 #: Labelled rows that the classifier is fitted on, at most (those with the smallest hash of the id).
 MAX_LABELLED = 20_000
 MAX_TERMS = 256
+#: Log odds that make a term, and a misspelled hit of one.
+LEAST = 2
 THRESHOLD = 0.3
 WORD = re.compile(r"\w+")
 WINDOW = 8
@@ -36,10 +38,12 @@ class Matcher:
     A state is a set of (trie node, edits so far): the Levenshtein automata of all terms run
     through the trie at once. Transitions are kept, so known words cost one step a letter.
     A term ending in ``$`` is a whole word; others are stems, met by any word that begins so.
-    The first letter must be right.
+    The first letter must be right, and stems and words under five letters whole, unless ``loose``:
+    then edits begin at the first letter, and stems and words of four letters allow one.
     """
 
-    def __init__(self, terms: list[str]):
+    def __init__(self, terms: list[str], loose: bool = False, most_states: int = 100_000):
+        self.loose, self.most_states = loose, most_states
         self.kids: list[dict[str, int]] = [{}]
         self.ends: list[int] = [-1]
         self.stem: list[bool] = [False]
@@ -48,7 +52,11 @@ class Matcher:
         for t, term in enumerate(terms):
             whole = term.endswith("$")
             text = term.removesuffix("$")
-            most = 0 if not whole or len(text) < 5 else 1 if len(text) < 8 else 2
+            if loose:
+                most = 0 if len(text) < 4 else 1 if not whole or len(text) < 8 else 2
+            else:
+                most = 0 if not whole or len(text) < 5 else 1 if len(text) < 8 else 2
+            self.room[0] = max(self.room[0], most)
             self.allowed.append(most)
             node = 0
             for ch in text:
@@ -61,6 +69,9 @@ class Matcher:
                 node = self.kids[node][ch]
                 self.room[node] = max(self.room[node], most)
             self.ends[node], self.stem[node] = t, not whole
+        self._begin()
+
+    def _begin(self) -> None:
         self.known: dict[frozenset, int] = {}
         self.sets: list[dict[int, int]] = []
         self.moves: list[dict[str, int]] = []
@@ -72,7 +83,7 @@ class Matcher:
         todo = list(at.items())
         while todo:  # a letter of the term that the word lacks
             n, e = todo.pop()
-            if n:
+            if n or self.loose:
                 for k in self.kids[n].values():
                     if e + 1 <= self.room[k] and at.get(k, 9) > e + 1:
                         at[k] = e + 1
@@ -84,8 +95,8 @@ class Matcher:
             self.moves.append({})
             done = [(e, self.ends[n]) for n, e in at.items() if self.ends[n] >= 0 and not self.stem[n] and e <= self.allowed[self.ends[n]]]
             self.final.append((min(done)[1], min(done)[0]) if done else None)
-            stems = [self.ends[n] for n, e in at.items() if self.stem[n] and e == 0]
-            self.sticky.append((min(stems), 0) if stems else None)
+            stems = [(e, self.ends[n]) for n, e in at.items() if self.stem[n] and e <= self.allowed[self.ends[n]]]
+            self.sticky.append((min(stems)[1], min(stems)[0]) if stems else None)
         return self.known[key]
 
     def _step(self, s: int, ch: str) -> int:
@@ -93,22 +104,26 @@ class Matcher:
         for n, e in self.sets[s].items():
             for c, k in self.kids[n].items():
                 cost = e + (c != ch)
-                if cost <= self.room[k] and (n or c == ch):
+                if cost <= self.room[k] and (n or self.loose or c == ch):
                     nxt[k] = min(nxt.get(k, 9), cost)
-            if n and e + 1 <= self.room[n]:
+            if (n or self.loose) and e + 1 <= self.room[n]:
                 nxt[n] = min(nxt.get(n, 9), e + 1)
         return self._state(nxt) if nxt else -1
 
     def match(self, word: str) -> tuple[int, int] | None:
         """(term, distance) of the nearest term, or None."""
+        if len(self.sets) > self.most_states:
+            self._begin()
         s, stem = self.start, None
         for ch in word:
             row = self.moves[s]
             s = row[ch] if ch in row else row.setdefault(ch, self._step(s, ch))
             if s < 0:
                 return stem
-            stem = stem or self.sticky[s]
-        return self.final[s] if self.final[s] and (not stem or self.final[s][1] == 0) else stem
+            now = self.sticky[s]
+            if now and (not stem or now[1] < stem[1]):
+                stem = now
+        return self.final[s] if self.final[s] and (not stem or self.final[s][1] == 0 or self.final[s][1] < stem[1]) else stem
 
 
 def entries(text: str) -> set[str]:
@@ -126,7 +141,7 @@ def choose_terms(rows: list[tuple[str, int, int]], toxic: int, clean: int) -> di
     scored = []
     for entry, n1, n0 in rows:
         w = math.log((n1 + 0.5) / (toxic + 1)) - math.log((n0 + 0.5) / (clean + 1))
-        if n1 >= max(4, 0.012 * toxic) and w >= 2:
+        if n1 >= max(4, 0.012 * toxic) and w >= LEAST:
             scored.append((-round(w * math.sqrt(n1), 6), not entry.endswith("$"), len(entry), entry, w, n1))
     out: dict[str, float] = {}
     counts: dict[str, int] = {}
@@ -140,7 +155,18 @@ def choose_terms(rows: list[tuple[str, int, int]], toxic: int, clean: int) -> di
     return out
 
 
-def features(text: str, matcher: Matcher, cache: dict, weights: list[float]) -> tuple[list[float], list[tuple[int, int]]]:
+def loose_weights(weights: list[float], met: list[tuple[int, int, int]], toxic: int, clean: int) -> list[float]:
+    """Log odds of each term's hits at distance 1 and 2, from (2 * term + distance - 1, toxic documents, clean documents).
+
+    The term's own weight where there are no such hits, and at most that.
+    """
+    out, rest = [w for w in weights for _ in range(2)], 0.5 / (toxic + 1)
+    for k, n1, n0 in met:
+        out[k] = min(out[k], math.log((n1 / (toxic + 1) + rest) / (n0 / (clean + 1) + rest * math.exp(-out[k]))))
+    return out
+
+
+def features(text: str, matcher: Matcher, cache: dict, weights: list[float], loose: list[float] | None = None) -> tuple[list[float], list[tuple[int, int]]]:
     """The document's feature vector and its hits (term, distance)."""
     low = text.lower()
     words = WORD.findall(low)
@@ -153,7 +179,7 @@ def features(text: str, matcher: Matcher, cache: dict, weights: list[float]) ->
         before, after = low[max(0, a - 120) : a], low[b : b + 120]
         marks = sum(map(before.count, QUOTES))
         quoted = (marks % 2 == 1 and any(q in after for q in QUOTES)) or bool(said and marks)
-        worth = weights[term] / (1 + 0.25 * dist)
+        worth = (loose[2 * term + dist - 1] if loose and dist else weights[term]) / (1 + 0.25 * dist)
         kind = 2 if quoted else 1 if dist else 0
         best[kind] = max(best[kind], worth)
         count[kind] += 1
@@ -166,16 +192,19 @@ def features(text: str, matcher: Matcher, cache: dict, weights: list[float]) ->
 
 
 class Cache(dict):
-    """Word to match, filled on demand and started anew when it is large."""
+    """Word to match, filled on demand and started anew when it is large. Misspelled hits that weigh less than a term must are none."""
 
-    def __init__(self, matcher: Matcher, most: int = 400_000):
+    def __init__(self, matcher: Matcher, most: int = 400_000, loose: list[float] | None = None):
         super().__init__()
-        self.matcher, self.most = matcher, most
+        self.matcher, self.most, self.loose = matcher, most, loose
 
     def __missing__(self, word: str):
         if len(self) >= self.most:
             self.clear()
-        out = self[word] = self.matcher.match(word)
+        out = self.matcher.match(word)
+        if out and out[1] and self.loose and self.loose[2 * out[0] + out[1] - 1] < LEAST:
+            out = None
+        self[word] = out
         return out
 
 
@@ -243,11 +272,22 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
     terms = choose_terms([(r["entry"], r["n1"], r["n0"]) for r in top if r["entry"]], toxic, clean)
     names, weights = list(terms), list(terms.values())
 
+    def misspelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache, seen = Cache(Matcher(names, loose=True)), np.zeros((2, 2 * len(names)), np.int64)
+        for b in batches:
+            for text, bad in zip(b.column(1), b.column(2), strict=True):
+                hits = map(cache.__getitem__, set(WORD.findall(text.as_py().lower())))
+                seen[bad.as_py(), list({2 * h[0] + h[1] - 1 for h in hits if h and h[1]})] += 1
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(2 * len(names))), pa.array(seen[1]), pa.array(seen[0])], names=["k", "n1", "n0"])
+
+    met = rows.mapInArrow(misspelled, "k long, n1 long, n0 long").groupBy("k").agg(F.sum("n1"), F.sum("n0")).collect() if names else []  # at most 2 * MAX_TERMS rows
+    loose = loose_weights(weights, [tuple(x) for x in met], toxic, clean)
+
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = Matcher(names)
-        cache = Cache(m)
+        m = Matcher(names, loose=True)
+        cache = Cache(m, loose=loose)
         for b in batches:
-            xs = [features(t.as_py(), m, cache, weights)[0] for t in b.column(1)]
+            xs = [features(t.as_py(), m, cache, weights, loose)[0] for t in b.column(1)]
             yield pa.RecordBatch.from_arrays([pa.array(xs, pa.list_(pa.float64())), b.column(2)], names=["x", "y"])
 
     got = rows.mapInArrow(measure, "x array<double>, y int").collect()  # at most MAX_LABELLED rows
@@ -257,7 +297,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
     if len(x):  # misspelled hits weigh like plain ones as far as the data don't say otherwise
         plain = logistic(x, y)
         theta = logistic(x, y, np.concatenate([plain[:3], 0.9 * np.maximum(plain[1:3], 0), PRIOR[5:]]))
-    return {"terms": names, "weights": weights, "theta": theta.tolist()}
+    return {"terms": names, "weights": weights, "loose": loose, "theta": theta.tolist()}
 
 
 def score(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
@@ -267,10 +307,10 @@ def score(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        matcher, theta = Matcher(m["terms"]), np.array(m["theta"])
-        cache = Cache(matcher)
+        matcher, theta = Matcher(m["terms"], loose=True), np.array(m["theta"])
+        cache = Cache(matcher, loose=m["loose"])
         for b in batches:
-            x = np.array([features(t.as_py() or "", matcher, cache, m["weights"])[0] for t in b.column(len(keep))]).reshape(-1, len(theta))
+            x = np.array([features(t.as_py() or "", matcher, cache, m["weights"], m["loose"])[0] for t in b.column(len(keep))]).reshape(-1, len(theta))
             p = 1 / (1 + np.exp(-np.clip(x @ theta, -30, 30)))
             yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], pa.array(p)], names=[*keep, "score"])
 

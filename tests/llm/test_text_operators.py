@@ -209,6 +209,18 @@ def test_matcher_equals_edit_distance():
     assert m.match("loweiung") == (4, 0) and m.match("lowe") is None
 
 
+def test_misspelled_first_letters_stems_and_short_terms_are_hits():
+    m = toxicity.Matcher(["idiot$", "scum$", "lowei", "bad$"], loose=True)
+    for word, hit in {"1diot": (0, 1), "diot": (0, 1), "kidiot": (0, 1), "idiot": (0, 0), "scuum": (1, 1), "skum": (1, 1), "cum": (1, 1), "loweiung": (2, 0), "lpweiung": (2, 1), "oweiung": (2, 1)}.items():
+        assert m.match(word) == hit, word
+    assert m.match("bat") is None and m.match("dot") is None and m.match("scuuum") is None
+    assert toxicity.Matcher(["idiot$"], loose=True, most_states=1).match("1diot") == (0, 1)
+    told = toxicity.loose_weights([4.0, 4.0], [(0, 0, 50)], 100, 900)
+    assert told[0] < 0 and told[1:] == [4.0] * 3
+    cache = toxicity.Cache(toxicity.Matcher(["idiot$", "scum$"], loose=True), loose=told)
+    assert cache["1diot"] is None and cache["idiot"] == (0, 0) and cache["skum"] == (1, 1)
+
+
 def test_toxicity_learns_finds_misspellings_and_spares_quotes(spark, docs, no_docs):
     from tests.llm.conftest import prose
 
