@@ -2,40 +2,117 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a local one only where none is set."""
+    """The shared folder named by ``spark.checkpoint.dir``; one of its own only in local mode, where it is unset."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="folio-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete every table that ``materialize`` wrote in this application; results that still read one are lost."""
+    _remove(spark, f"{checkpoint_root(spark)}/folio/{spark.sparkContext.applicationId}")
+
+
+_released_at_exit: set[str] = set()
+
+
+def _release_at_exit(spark: SparkSession) -> None:
+    with contextlib.suppress(Exception):  # the session may have ended
+        release(spark)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` as Parquet in the shared checkpoint folder and read it back.
 
-    Cuts the lineage, survives lost executors, and gives later plans exact sizes.
+    Cuts the lineage, survives lost executors, and gives later plans exact sizes. ``discard`` deletes
+    such a table, ``release`` all of an application, which also happens when Python exits.
     """
-    path = f"{checkpoint_root(df.sparkSession)}/folio/{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    app = spark.sparkContext.applicationId
+    if app not in _released_at_exit:
+        _released_at_exit.add(app)
+        atexit.register(_release_at_exit, spark)
+    path = f"{checkpoint_root(spark)}/folio/{app}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._folio_path = path
+    return out
+
+
+def discard(*tables: DataFrame | None) -> None:
+    """Delete tables that ``materialize`` returned and no later plan reads."""
+    for t in tables:
+        if path := getattr(t, "_folio_path", None):
+            _remove(t.sparkSession, path)
+
+
+def identified(docs: DataFrame) -> DataFrame:
+    """``_file``, ``_at`` and ``_row`` (all columns): every row with an identity that each scan repeats.
+
+    Rows of Parquet files, selected and filtered or not, are known by their file (a 64-bit hash of its
+    path) and place in it, so nothing is copied. Any other input is written once and numbered.
+    """
+    row, plan = F.struct("*").alias("_row"), docs._jdf.queryExecution().analyzed()
+    while plan.nodeName() in ("Project", "Filter", "SubqueryAlias") and plan.deterministic():
+        plan = plan.children().apply(0)
+    if plan.children().isEmpty() and "_metadata" not in docs.columns:
+        with contextlib.suppress(AnalysisException):
+            return docs.select(F.xxhash64("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_at"), row)
+    return materialize(docs.select(F.lit(0).cast("long").alias("_file"), F.monotonically_increasing_id().alias("_at"), row))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Bits of ``bit_filter``: 2 MB, whatever the input.
+FILTER_BITS = 1 << 24
+
+
+def bit_filter(df: DataFrame, *hashes: str) -> Callable[..., np.ndarray]:
+    """A broadcast test that marks all rows of ``df`` and few others by their long columns ``hashes``.
+
+    Its size is fixed: past its capacity it lets more rows through, it never drops one of ``df``.
+    """
+    bit = F.explode(F.array(*[F.pmod(F.col(c), F.lit(FILTER_BITS)) for c in hashes]))
+    words = df.select(bit.alias("bit")).groupBy(F.shiftright("bit", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("v"))
+    got = words.toArrow()  # at most FILTER_BITS / 64 rows
+    bits = np.zeros(FILTER_BITS // 64, np.int64)
+    bits[got["w"].to_numpy()] = got["v"].to_numpy()
+    seen = df.sparkSession.sparkContext.broadcast(bits.view(np.uint8))
+
+    def test(*columns: np.ndarray) -> np.ndarray:
+        h = np.stack(columns, 1) % FILTER_BITS
+        return ((seen.value[h >> 3] >> (h & 7).astype(np.uint8)) & 1).all(1)
+
+    return test
+
+
 def group_key(col: Column) -> Column:
     """A string that is never null: ``v`` + value, or ``n`` for null."""
     return F.when(col.isNull(), F.lit("n")).otherwise(F.concat(F.lit("v"), col.cast("string")))
@@ -94,7 +171,8 @@ def connected_components(edges: DataFrame, a: str, b: str, max_rounds: int = 60)
         small_low = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(small_low, "u")
         small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small_low.select("u", F.col("m").alias("v"))).filter("u <> v").distinct()
-        e = materialize(small)
+        e, old = materialize(small), e
+        discard(old)
         now = tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % 1_000_003), F.sum(F.xxhash64("v", "u") % 999_983)).first())
         if now == mark:
             break
