@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from folio.llm.common import materialize
+from folio.llm.common import discard, materialize
 
 #: Queries of one pass over the candidates: what is broadcast is bounded by it, not by the table.
 QUERY_BLOCK = 8192
@@ -35,11 +35,6 @@ def _matrix(col: pa.ListArray | pa.ChunkedArray, width: int) -> np.ndarray:
     return flat.astype(np.float64).reshape(-1, width) if width else np.zeros((len(col), 0))
 
 
-def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
-    """Positions of the k best, higher score first, then smaller id."""
-    return np.lexsort((ids, -scores))[:k]
-
-
 def search_chunk(qi, qr, qn, c, cr, cn, lead: int, floor: np.ndarray) -> np.ndarray:
     """Mask of (query, candidate) pairs that a bound below ``floor`` does not exclude."""
     out = np.zeros((len(qi), len(c)), bool)
@@ -55,22 +50,23 @@ def exact_topk(vectors: DataFrame, k: int = 20, modulo: int = 20) -> DataFrame:
     """The ``k`` highest integer inner products of every query with all other rows.
 
     Queries are the rows whose id is divisible by ``modulo``. ``query_id``, ``rank`` from 1,
-    ``vec_id``, ``score``; ties go to the smaller id, a query's own id is no candidate of it.
-    Candidates run through each task in order of falling length; a chunk or pair whose
-    Cauchy-Schwarz bound stays below the query's k-th best score so far is never scored. Vectors
-    of another length than the most common one take no part. An empty table gives no rows.
+    ``vec_id``, ``score``; ties go to the smaller id, then to the row that is met first. A query's own
+    row is no candidate of it; other rows are, those with its id too, and a repeated query row has
+    its own ranks. Candidates run through each task in order of falling length; a chunk or pair
+    whose Cauchy-Schwarz bound stays below the query's k-th best score so far is never scored, and
+    the task ends once no query can gain. Vectors of another length than the most common one take
+    no part; other columns are ignored. An empty table gives no rows.
     """
     spark = vectors.sparkSession
-    base = quantised(vectors).withColumn("width", F.size("q"))
-    rows = materialize(base)
+    rows = materialize(quantised(vectors).withColumn("width", F.size("q")).withColumn("rid", F.monotonically_increasing_id()))
     mode = rows.groupBy("width").count().orderBy(F.col("count").desc(), "width").first()
-    schema = "query_id long, vec_id long, score long"
+    schema = "query long, query_id long, rid long, vec_id long, score long"
     if mode is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     width = mode["width"]
-    rows = rows.filter(F.col("width") == width).select("vec_id", "q", "norm")
-    n = rows.count()
-    ranged = materialize(rows.repartitionByRange(max(1, -(-n // 16384)), F.col("norm").desc(), "vec_id").sortWithinPartitions(F.col("norm").desc(), "vec_id"))
+    longest = [F.col("norm").desc(), F.col("vec_id"), F.col("rid")]
+    ranged = materialize(rows.filter(F.col("width") == width).select("rid", "vec_id", "q", "norm").repartitionByRange(max(1, -(-mode["count"] // 16384)), *longest).sortWithinPartitions(*longest))
+    discard(rows)
 
     def gram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         g = np.zeros((width, width))
@@ -86,45 +82,59 @@ def exact_topk(vectors: DataFrame, k: int = 20, modulo: int = 20) -> DataFrame:
     total = total.reshape(width, width)
     turn = np.linalg.eigh(total)[1][:, ::-1].copy()  # right singular vectors of all rows, strongest first
     lead = max(1, width // 4)
-    seed = ranged.orderBy(F.col("norm").desc(), "vec_id").limit(SEED_ROWS).toArrow()
-    seed_ids, seed_q = seed["vec_id"].to_numpy(), _matrix(seed["q"].combine_chunks(), width)
+    seed = ranged.orderBy(*longest).limit(SEED_ROWS).toArrow()
+    seed_rids, seed_q = seed["rid"].to_numpy(), _matrix(seed["q"].combine_chunks(), width)
     queries = ranged.filter(F.col("vec_id") % modulo == 0)
-    cuts = queries.count()
-    blocks = max(1, -(-cuts // QUERY_BLOCK))
-    keyed = materialize(queries.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)))) if blocks > 1 else queries.withColumn("block", F.lit(0))
+    blocks = max(1, -(-queries.count() // QUERY_BLOCK))
+    keyed = materialize(queries.withColumn("block", F.pmod(F.xxhash64("rid"), F.lit(blocks)))) if blocks > 1 else queries.withColumn("block", F.lit(0))
     found = None
-    for i in range(blocks):
-        got = keyed.filter(F.col("block") == i).select("vec_id", "q").toArrow()
-        ids, qi = got["vec_id"].to_numpy(), _matrix(got["q"].combine_chunks(), width)
+    for i in range(blocks):  # one block's queries are on the driver and in a broadcast at a time
+        got = keyed.filter(F.col("block") == i).select("rid", "vec_id", "q").toArrow()
+        rids, ids, qi = got["rid"].to_numpy(), got["vec_id"].to_numpy(), _matrix(got["q"].combine_chunks(), width)
         first = qi @ seed_q.T
-        first[ids[:, None] == seed_ids[None, :]] = -np.inf
+        first[rids[:, None] == seed_rids[None, :]] = -np.inf
         floor = np.sort(first, axis=1)[:, -k] if first.shape[1] > k else np.full(len(ids), -np.inf)
-        shared = spark.sparkContext.broadcast((ids, qi, qi @ turn, np.sqrt((qi * qi).sum(1)), floor, turn))
+        shared = spark.sparkContext.broadcast((rids, ids, qi, qi @ turn, np.sqrt((qi * qi).sum(1)), floor, turn))
 
         def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            ids, qi, qr, qn, floor, turn = shared.value
+            rids, ids, qi, qr, qn, floor, turn = shared.value
             floor = floor.copy()
-            top: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0), np.zeros(0, np.int64)) for _ in ids]
-            for b in batches:
-                for at in range(0, b.num_rows, CHUNK):
-                    part = b.slice(at, CHUNK)
-                    cid, c = part.column(0).to_numpy(), _matrix(part.column(1), width)
-                    keep = search_chunk(qi, qr, qn, c, c @ turn, np.sqrt((c * c).sum(1)), lead, floor)
-                    for q in np.flatnonzero(keep.any(1)):
-                        pos = np.flatnonzero(keep[q])
-                        s = c[pos] @ qi[q]
-                        own = (cid[pos] != ids[q]) & (s >= floor[q])
-                        if own.any():
-                            scores, near = np.concatenate([top[q][0], s[own]]), np.concatenate([top[q][1], cid[pos][own]])
-                            best = _best(scores, near, k)
-                            top[q] = scores[best], near[best]
-                            if len(best) == k:
-                                floor[q] = max(floor[q], scores[best[-1]])
+            none = np.zeros(0, np.int64)
+            top: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = [(np.zeros(0), none, none)] * len(ids)
+
+            def scan(part: pa.RecordBatch) -> bool:
+                """False once no query can gain from this chunk, nor from the shorter ones behind it."""
+                crid, cid, c = part.column(0).to_numpy(), part.column(1).to_numpy(), _matrix(part.column(2), width)
+                cn = np.sqrt((c * c).sum(1))
+                if not (qn * cn.max(initial=0) >= floor - 1e-6).any():
+                    return False
+                keep = search_chunk(qi, qr, qn, c, c @ turn, cn, lead, floor)
+                for q in np.flatnonzero(keep.any(1)):
+                    pos = np.flatnonzero(keep[q])
+                    s = c[pos] @ qi[q]
+                    own = (crid[pos] != rids[q]) & (s >= floor[q])
+                    if own.any():
+                        scores, near, at = (np.concatenate([x, y]) for x, y in zip(top[q], (s[own], cid[pos][own], crid[pos][own]), strict=True))
+                        best = np.lexsort((at, near, -scores))[:k]
+                        top[q] = scores[best], near[best], at[best]
+                        if len(best) == k:
+                            floor[q] = max(floor[q], scores[best[-1]])
+                return True
+
+            if len(ids):
+                for b in batches:
+                    if not all(scan(b.slice(at, CHUNK)) for at in range(0, b.num_rows, CHUNK)):
+                        break
             sizes = [len(t[0]) for t in top]
             if sum(sizes):
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, sizes)), pa.array(np.concatenate([t[1] for t in top])), pa.array(np.concatenate([t[0] for t in top]).astype(np.int64))], names=["query_id", "vec_id", "score"])
-
-        hits = ranged.select("vec_id", "q").mapInArrow(search, schema)
-        found = hits if found is None else found.unionByName(hits)
-    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
-    return found.withColumn("rank", place).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+                near = [np.concatenate([t[j] for t in top]) for j in range(3)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(rids, sizes)), pa.array(np.repeat(ids, sizes)), pa.array(near[2]), pa.array(near[1]), pa.array(near[0].astype(np.int64))], names=["query", "query_id", "rid", "vec_id", "score"])
+
+        hits = ranged.select("rid", "vec_id", "q").mapInArrow(search, schema)
+        place = F.row_number().over(Window.partitionBy("query").orderBy(F.col("score").desc(), "vec_id", "rid"))
+        best = hits.withColumn("rank", place).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+        if blocks > 1:
+            best = materialize(best)
+            shared.destroy()
+        found = best if found is None else found.unionByName(best)
+    return found

@@ -33,6 +33,22 @@ def test_topk_is_exact(spark, monkeypatch, n, k):
         assert sorted(got[i]) == [(r + 1, j, s[j]) for r, j in enumerate(order)]
 
 
+def test_topk_keeps_repeated_rows_apart(spark):
+    rng = np.random.default_rng(8)
+    m = np.round(rng.normal(size=(40, 6)), 2)
+    ids = [*range(38), 20, 20]
+    m[38] = m[20]
+    rows = [(i, [float(x) for x in v], "a", 1, 2, 3) for i, v in zip(ids, m, strict=True)]
+    got = topk.exact_topk(spark.createDataFrame(rows, "vec_id long, embedding array<float>, rid string, rank int, query int, norm int"), 7).collect()
+    q = np.floor(64 * m.astype(np.float32).astype(float)).astype(int)
+    want = []
+    for i in (r for r in range(40) if ids[r] % 20 == 0):
+        s = q @ q[i]
+        order = sorted((j for j in range(40) if j != i), key=lambda j: (-s[j], ids[j]))[:7]
+        want += [(ids[i], r + 1, ids[j], s[j]) for r, j in enumerate(order)]
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
 def test_topk_of_nothing(spark):
     assert topk.exact_topk(spark.createDataFrame([], SCHEMA)).count() == 0
 
@@ -68,7 +84,15 @@ def test_near_duplicates_of_nothing(spark):
     assert capfilter.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
-def test_recall_at_the_threshold():
+def test_filters_follow_the_rows():
+    assert capfilter.scale_for(0) == capfilter.scale_for(50_000) == (22, 3.1)
+    codes, level = capfilter.scale_for(5_000_000)
+    assert level > 4 and 20 * (22 / codes) ** 3 < 0.25
+
+
+@pytest.mark.parametrize("rows", [50_000, 5_000_000])
+def test_recall_at_the_threshold(rows):
+    size, level = capfilter.scale_for(rows)
     rng = np.random.default_rng(2)
     a = rng.normal(size=(1500, 64))
     a /= np.linalg.norm(a, axis=1, keepdims=True)
@@ -78,7 +102,7 @@ def test_recall_at_the_threshold():
     b = 0.931 * a + np.sqrt(1 - 0.931**2) * z
     met = np.zeros(len(a), bool)
     for t in range(capfilter.TABLES):
-        code = capfilter.ProductCode(64, seed=7 + t)
+        code = capfilter.ProductCode(64, codes=size, seed=7 + t, level=level)
         (wa, ca), (wb, cb) = code.decode(a), code.decode(b)
-        met |= np.isin(np.arange(len(a)), np.intersect1d(wa * 10**6 + ca, wb * 10**6 + cb) // 10**6)
+        met |= np.isin(np.arange(len(a)), np.intersect1d(wa * 10**9 + ca, wb * 10**9 + cb) // 10**9)
     assert met.mean() > 0.99
