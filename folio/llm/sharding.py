@@ -12,7 +12,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folio.llm.common import materialize, running_sum
+from folio.llm.common import identified, materialize, running_sum
 
 LIMIT = 8 << 20
 
@@ -29,7 +29,8 @@ def shard(docs: DataFrame, limit: int = LIMIT, *keep: str) -> DataFrame:
 
     The key hashed is (id, text). A bucket whose rows all have one hash (the same row repeated)
     cannot split; it gets overflow pages of whole rows. A single document over the limit has a
-    shard of its own. Null text counts 0 bytes. An empty table gives no rows.
+    shard of its own. Null text counts 0 bytes; a null id is a value like any other; columns not in
+    ``keep`` are ignored. An empty table gives no rows.
     """
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
     rows = materialize(docs.select("doc_id", size.alias("bytes"), F.xxhash64("doc_id", "text").alias("h"), *keep))
@@ -72,6 +73,6 @@ def shard(docs: DataFrame, limit: int = LIMIT, *keep: str) -> DataFrame:
 
 def write_shards(docs: DataFrame, path: str, limit: int = LIMIT) -> None:
     """The documents as Parquet, one folder per shard (``shard=<prefix>-<page>``)."""
-    rows = materialize(docs.select(F.monotonically_increasing_id().alias("_rid"), F.struct("*").alias("_row")))
-    named = shard(rows.select("_rid", "_row.doc_id", "_row.text"), limit, "_rid").select("_rid", F.concat_ws("-", F.concat(F.lit("s"), "prefix"), "page").alias("shard"))
-    named.join(rows, "_rid").select("_row.*", "shard").repartition("shard").write.partitionBy("shard").parquet(path)
+    rows = identified(docs)
+    named = shard(rows.select("_file", "_at", "_row.doc_id", "_row.text"), limit, "_file", "_at").select("_file", "_at", F.concat_ws("-", F.concat(F.lit("s"), "prefix"), "page").alias("shard"))
+    named.join(rows, ["_file", "_at"]).select("_row.*", "shard").repartition("shard").write.partitionBy("shard").parquet(path)
