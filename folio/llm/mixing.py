@@ -10,10 +10,10 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from folio.llm.common import group_key, materialize, running_sum
+from folio.llm.common import discard, group_key, identified, materialize, running_sum
 
 #: Rates are rounded to this share before exact integer sums, so results do not depend on partitions.
 UNIT = 1 << 20
@@ -51,21 +51,26 @@ def tilts(sized: DataFrame, targets: DataFrame, cap: int = 2, rounds: int = 80)
     ratio = F.col("target") / F.col("source_size")
     low = F.when(ratio < 1, F.log(F.greatest(ratio, F.lit(1e-300))) * mean / F.col("least")).otherwise(0.0)
     high = F.when(ratio > 1, F.lit(math.log(cap)) * mean / F.col("least")).otherwise(0.0)
-    state = materialize(targets.filter("source_size > 0").select("src", "target", mean.alias("scale"), F.least(F.greatest(F.log(F.greatest(ratio, F.lit(1e-300))), low), high).alias("tilt"), low.alias("low"), high.alias("high"), F.lit(float("inf")).alias("miss")))
+    state = materialize(targets.filter("source_size > 0").select("src", "target", mean.alias("scale"), F.least(F.greatest(F.log(F.greatest(ratio, F.lit(1e-300))), low), high).alias("tilt"), low.alias("low"), high.alias("high")))
     for _ in range(rounds):
         x = F.col("size") / F.col("scale")
         up = F.col("tilt") * x
         rate = F.when(up >= math.log(cap), F.lit(float(cap))).otherwise(F.exp(up))
-        mass = F.col("n") * F.col("size")
-        slope = F.when(up < math.log(cap), mass * x * rate).otherwise(0.0)
-        sums = cells.join(state, "src").groupBy("src").agg(F.sum(mass * rate).alias("got"), F.sum(slope).alias("slope"))
+        mass = (F.col("n") * F.col("size")).cast("decimal(38,0)")
+        slope = F.when(up < math.log(cap), x * rate).otherwise(0.0)
+        # whole numbers are summed, so the order of rows cannot change a digit
+        exact = lambda v: (F.sum(mass * F.round(v * UNIT).cast("long")) / UNIT).cast("double")
+        sums = cells.join(state, "src").groupBy("src").agg(exact(rate).alias("got"), exact(slope).alias("slope"))
         g = F.col("got") - F.col("target")
-        nxt = state.drop("miss").join(sums, "src").withColumn("low", F.when(g < 0, F.col("tilt")).otherwise(F.col("low"))).withColumn("high", F.when(g > 0, F.col("tilt")).otherwise(F.col("high")))
+        nxt = state.join(sums, "src").withColumn("low", F.when(g < 0, F.col("tilt")).otherwise(F.col("low"))).withColumn("high", F.when(g > 0, F.col("tilt")).otherwise(F.col("high")))
         step = F.col("tilt") - g / F.when(F.col("slope") > 0, F.col("slope"))
         safe = F.when((step > F.col("low")) & (step < F.col("high")), step).otherwise((F.col("low") + F.col("high")) / 2)
-        small = F.abs(g) <= F.greatest(F.lit(0.25), F.col("target") * 1e-9)
-        state = materialize(nxt.select("src", "target", "scale", F.when(small, F.col("tilt")).otherwise(safe).alias("tilt"), "low", "high", F.when(small, F.lit(0.0)).otherwise(F.abs(g)).alias("miss")))
-        if not state.filter("miss > 0 and high - low > 1e-13").limit(1).count():
+        small = F.abs(g) <= F.greatest(F.lit(0.25), F.col("target") * 1e-6)
+        unsettled = F.count(F.when(~small & (F.col("high") - F.col("low") > 1e-13), 1)).alias("open")
+        seen = Observation()
+        state, old = materialize(nxt.observe(seen, unsettled).select("src", "target", "scale", F.when(small, F.col("tilt")).otherwise(safe).alias("tilt"), "low", "high")), state
+        discard(old)
+        if not seen.get["open"]:
             break
     return state.select("src", "scale", "tilt")
 
@@ -122,8 +127,14 @@ def sized_documents(docs: DataFrame, *keep: str) -> DataFrame:
 
 
 def mix_documents(docs: DataFrame) -> DataFrame:
-    """The documents themselves, each as often as the mix takes it; their columns only."""
-    rows = materialize(docs.select(F.monotonically_increasing_id().alias("_rid"), F.struct("*").alias("_row")))
-    copies = mix(sized_documents(rows.select("_rid", "_row.doc_id", "_row.text", "_row.source"), "_rid"))
-    taken = rows.join(copies.filter("copies > 0").select("_rid", F.col("copies").alias("_copies")), "_rid")
+    """The documents themselves, each as often as the mix takes it; their columns only.
+
+    Null texts and texts without words have size 0 and come once or as often as their source's mix
+    takes them; null sources are a source; repeated rows are drawn one by one; other columns are
+    carried along, whatever their names; an empty table gives no rows.
+    """
+    rows = identified(docs)
+    copies = mix(sized_documents(rows.select("_file", "_at", "_row.doc_id", "_row.text", "_row.source"), "_file", "_at"))
+    # joined alike at every size: what is taken grows with the corpus
+    taken = rows.join(copies.filter("copies > 0").select("_file", "_at", F.col("copies").alias("_copies")).hint("merge"), ["_file", "_at"])
     return taken.select("_row", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select("_row.*")

@@ -8,6 +8,7 @@ posteriors. Spans of the base rules always stay, the classifier adds others.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -216,11 +217,13 @@ def personal_data(docs: DataFrame) -> DataFrame:
 def redact(docs: DataFrame) -> DataFrame:
     """The same rows with every found span replaced by its kind in brackets; ``n_chars`` follows the text.
 
-    Overlapping spans are covered by the first one's mark. Null texts stay null.
+    Overlapping spans are covered by the first one's mark. Null and empty texts, null ids, repeated rows
+    and other columns, whatever their names, stay as they are; an empty table gives no rows.
     """
     packed = docs.select(F.struct("*").alias("_row"))
-    # written once: the fit reads the candidates alone, and each half stays small enough to compile well
-    found = materialize(candidates(packed, F.col("_row.text")).select("_row", "_cands"))
+    some = F.coalesce(reduce(Column.__or__, [F.col("_row.text").cast("string").rlike(p) for p in NEEDS.values()]), F.lit(False))
+    # only rows that can hold a span are written, once: the fit reads the candidates alone, and each half stays small enough to compile well
+    found = materialize(candidates(packed.filter(some), F.col("_row.text")).select("_row", "_cands"))
     df = decide(found, fit(found)).withColumn("_text", F.coalesce(F.col("_row.text").cast("string"), F.lit("")))
     df = df.withColumn("_ends", F.transform("_spans", lambda s: s["end"]))
     marks = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
@@ -236,4 +239,4 @@ def redact(docs: DataFrame) -> DataFrame:
     text = F.when((n > 0) & F.col("_row.text").isNotNull(), body).otherwise(F.col("_row.text"))
     df = df.withColumn("_new", text)
     names = {"text": F.col("_new"), "n_chars": F.when(n > 0, F.length("_new").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("_row.n_chars"))} if "n_chars" in docs.columns else {"text": F.col("_new")}
-    return df.select(*[names.get(c, F.col(f"_row.`{c}`")).alias(c) for c in docs.columns])
+    return packed.filter(~some).select("_row.*").union(df.select(*[names.get(c, F.col(f"_row.`{c}`")).alias(c) for c in docs.columns]))

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folio.llm.common import connected_components, materialize
+from folio.llm.common import connected_components, discard, identified, materialize
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -82,13 +82,10 @@ def shingle_hashes(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarr
     return xxh64_slices(norm, begin[i], stop[last] - begin[i]), has, n
 
 
-def fingerprints(texts: list[bytes], width: int = 3) -> np.ndarray:
-    """One 64-bit SimHash per text: lower-cased A-Z, ``width``-word shingles, majority of XXH64 bits."""
-    out = np.zeros(len(texts), U)
-    h, has, n = shingle_hashes(texts, width)
-    if not len(has):
-        return out
+def majority(h: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """One 64-bit SimHash per group of ``n`` hashes in a row: bits that are set in over half of them."""
     seg = np.concatenate([[0], np.cumsum(n)[:-1]])
+    out = np.zeros(len(n), U)
     # eight bits at a time in the bytes of a word, in runs short enough not to overflow a byte
     cuts = np.unique(np.concatenate([seg, *(s + np.arange(255, c, 255) for s, c in zip(seg, n, strict=True) if c > 255)]))
     owner = np.searchsorted(seg, cuts, side="right") - 1
@@ -97,7 +94,16 @@ def fingerprints(texts: list[bytes], width: int = 3) -> np.ndarray:
         part = np.add.reduceat((h >> U(bit)) & U(0x0101010101010101), cuts)
         counts = np.add.reduceat(part.view(np.uint8).reshape(-1, 8).astype(np.int64), first_run, axis=0)
         for byte in range(8):
-            out[has] |= (2 * counts[:, byte] > n).astype(U) << U(8 * byte + bit)
+            out |= (2 * counts[:, byte] > n).astype(U) << U(8 * byte + bit)
+    return out
+
+
+def fingerprints(texts: list[bytes], width: int = 3) -> np.ndarray:
+    """One 64-bit SimHash per text: lower-cased A-Z, ``width``-word shingles, majority of XXH64 bits."""
+    out = np.zeros(len(texts), U)
+    h, has, n = shingle_hashes(texts, width)
+    if len(has):
+        out[has] = majority(h, n)
     return out
 
 
@@ -162,6 +168,20 @@ def _chain(a: Column, b: Column, seg: Column) -> Column:
     return test
 
 
+def within(x: np.ndarray, budget: int) -> np.ndarray:
+    """Marks XORs of fingerprints that pass the chain test of some segment and the full Hamming check at ``budget``."""
+    part = 64 // SEGMENTS
+    count = np.stack([np.bitwise_count((x >> U(64 - part * (i + 1))) & U((1 << part) - 1)) for i in range(SEGMENTS)]).astype(np.int16)
+    out = np.zeros(x.shape, bool)
+    for i in range(SEGMENTS):
+        ok, total = np.ones(x.shape, bool), np.zeros(x.shape, np.int16)
+        for n in range(SEGMENTS):
+            total += count[(i + n) % SEGMENTS]
+            ok &= total * SEGMENTS <= (n + 1) * budget
+        out |= ok
+    return out
+
+
 def _hot_links(pdf):
     """Links inside one pair of blocks of a hot bucket, as a star per linked group: never all pairs."""
     import pandas as pd
@@ -221,12 +241,19 @@ def simhash_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def without_near_copies(docs: DataFrame) -> DataFrame:
-    """One row of each class of near copies (five-word shingles, similarity 0.8): that of the smallest id (nulls last), then the first in file order."""
+    """One row of each class of near copies (five-word shingles, similarity 0.8): that of the smallest id (nulls last), then the first in file order.
+
+    Null and blank texts are one class. Repeated rows are copies; other columns are carried along,
+    whatever their names; an empty table gives no rows.
+    """
     from folio.llm.nearcopies import near_copy_classes
 
-    rows = materialize(docs.select(F.monotonically_increasing_id().alias("_rid"), F.struct("*").alias("_row")))
-    classes = near_copy_classes(rows.select(F.col("_rid").alias("rid"), F.col("_row.text").cast("string").alias("text")))
-    own = rows.select(F.col("_rid").alias("rid"), F.col("_row.doc_id").alias("id"))
-    first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", F.col("rid").alias("_rid"))).alias("first")
-    kept = materialize(classes.join(own, "rid").groupBy("root").agg(first).select("first._rid"))
-    return rows.join(kept, "_rid", "left_semi").select("_row.*")
+    rows = identified(docs)
+    classes = near_copy_classes(rows.select("_file", "_at", F.col("_row.text").cast("string").alias("text"), F.col("_row.doc_id").alias("id")))
+    order = F.struct(F.col("id").isNull(), "id", "_file", "_at")
+    # a table of its own, so that the rows of a very large class can be split in the join
+    first = materialize(classes.groupBy("root").agg(F.min(order).alias("first")).select("root", F.col("first._file").alias("file0"), F.col("first._at").alias("at0")))
+    gone = materialize(classes.join(first, "root").filter("_file <> file0 or _at <> at0").select("_file", "_at"))
+    discard(classes, first)
+    # joined alike at every size: what goes grows with the corpus
+    return rows.join(gone.hint("merge"), ["_file", "_at"], "left_anti").select("_row.*")
