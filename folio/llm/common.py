@@ -166,13 +166,14 @@ def connected_components(edges: DataFrame, a: str, b: str, max_rounds: int = 60)
     mark = None
     for _ in range(max_rounds):
         both = e.select(F.col("u").alias("x"), F.col("v").alias("y")).unionByName(e.select(F.col("v").alias("x"), F.col("u").alias("y")))
-        low = both.groupBy("x").agg(F.min("y").alias("m")).select("x", F.least("x", "m").alias("m"))
+        # a table of its own, so that the edges of a hub can be split in the join
+        low = materialize(both.groupBy("x").agg(F.min("y").alias("m")).select("x", F.least("x", "m").alias("m")))
         large = both.filter("y > x").join(low, "x").select(F.col("y").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
         small_low = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(small_low, "u")
         small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small_low.select("u", F.col("m").alias("v"))).filter("u <> v").distinct()
         e, old = materialize(small), e
-        discard(old)
+        discard(old, low)
         now = tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % 1_000_003), F.sum(F.xxhash64("v", "u") % 999_983)).first())
         if now == mark:
             break
