@@ -30,6 +30,29 @@ def kind_of(value: Any) -> str | None:
     return "string" if isinstance(value, str) else None
 
 
+def canonical(variant: Column) -> Column:
+    """The text of a JSON value, equal numbers alike; null for a missing or null one."""
+    number = _is_number(variant)
+    double = F.try_variant_get(variant, "$", "double")
+    whole = F.try_variant_get(variant, "$", "bigint")
+    text = F.when(number & (double == whole), whole.cast("string")).when(number, double.cast("string")).otherwise(F.to_json(variant))
+    return F.when(~F.is_variant_null(variant), text)
+
+
+def _is_number(variant: Column) -> Column:
+    return F.schema_of_variant(variant).rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)")
+
+
+def ranked(variant: Column) -> Column:
+    """A struct that orders JSON values: numbers by value, then text, then others; ``json`` is the value's text."""
+    text = F.schema_of_variant(variant) == "STRING"
+    rank = F.when(_is_number(variant), 1).when(text, 2).otherwise(3)
+    number = F.when(rank == 1, F.try_variant_get(variant, "$", "double"))
+    said = F.when(text, F.try_variant_get(variant, "$", "string"))
+    json = canonical(variant)
+    return F.when(json.isNotNull(), F.struct(rank.alias("rank"), number.alias("number"), said.alias("said"), json.alias("json")))
+
+
 @dataclass(frozen=True)
 class Value:
     """A resolved field: ``typed(kind)`` reads it as a Spark type; ``type`` is None for a raw variant."""

@@ -89,19 +89,40 @@ def _on_variant(old: Column, u: Update) -> Column:
     return F.when(items.isNotNull(), left).otherwise(old)
 
 
-def update_variant(document: Column, path: tuple[str, ...], u: Update) -> Column:
-    """The document with one update at ``path``; parents are made where they lack."""
-    head, rest = path[0], path[1:]
-    fields = F.coalesce(F.try_variant_get(document, "$", "map<string,variant>"), F.create_map().cast("map<string,variant>"))
-    old = F.try_variant_get(document, json_path((head,)), "variant")
-    new = update_variant(old, rest, u) if rest else _on_variant(old, u)
-    others = F.map_filter(fields, lambda k, v: k != head)
-    with_new = F.to_variant_object(F.map_concat(others, F.create_map(F.lit(head), new)))
-    if u.op is UpdateOp.UNSET and not rest:
-        return F.when(old.isNull(), document).otherwise(F.to_variant_object(others))
-    if u.op in (UpdateOp.UNSET, UpdateOp.REMOVE_ALL_FROM_LIST):  # nothing there, nothing to do
-        return F.when(F.try_variant_get(document, json_path(path), "variant").isNull(), document).otherwise(with_new)
-    return with_new
+def update_variant(document: Column, updates: list[tuple[tuple[str, ...], Update]]) -> Column:
+    """The document with all updates, each at its path; parents are made where they lack.
+
+    The paths form one tree and every object on them is rebuilt once, so the expression grows with
+    the number of path parts.
+    """
+    tree: dict = {}
+    for path, u in updates:
+        at = tree
+        for part in path[:-1]:
+            at = at.setdefault(part, {})
+        at[path[-1]] = u
+    return _rebuilt(document, (), tree)[0]
+
+
+def _rebuilt(document: Column, path: tuple[str, ...], tree: dict) -> tuple[Column, Column]:
+    """The value at ``path`` with the updates of ``tree`` below it, and whether any of them has anything to do."""
+    at = lambda p: F.try_variant_get(document, json_path(p), "variant") if p else document
+    entries, acts = [], []
+    for head, u in tree.items():
+        own = (*path, head)
+        if isinstance(u, Update):
+            new = _on_variant(at(own), u)
+            # nothing there, nothing to take away
+            acts.append(at(own).isNotNull() if u.op in (UpdateOp.UNSET, UpdateOp.REMOVE_ALL_FROM_LIST) else F.lit(True))
+        else:
+            new, act = _rebuilt(document, own, u)
+            acts.append(act)
+        entries.append(F.struct(F.lit(head).alias("key"), new.alias("value")))
+    fields = F.coalesce(F.try_variant_get(document, json_path(path), "map<string,variant>"), F.create_map().cast("map<string,variant>"))
+    others = F.map_filter(fields, lambda k, v: ~k.isin(list(tree)))
+    made = F.map_from_entries(F.filter(F.array(*entries), lambda x: x["value"].isNotNull()))
+    acts_any = reduce(Column.__or__, acts)
+    return F.when(acts_any, F.to_variant_object(F.map_concat(others, made))).otherwise(at(path)), acts_any
 
 
 def _on_column(old: Column, kind: T.DataType, u: Update) -> Column:
@@ -139,8 +160,9 @@ def updated_columns(schema: T.StructType, updates: list[Update], nested: bool) -
     """New values of the columns that the updates touch."""
     validate(updates)
     if nested:
-        return {"document": reduce(lambda d, u: update_variant(d, tuple(u.path.split(".")), u), updates, F.col("document"))}
+        return {"document": update_variant(F.col("document"), [(tuple(u.path.split(".")), u) for u in updates])}
     out: dict[str, Column] = {}
+    inside: dict[str, list[tuple[tuple[str, ...], Update]]] = {}
     for u in updates:
         if u.path in schema.fieldNames():
             out[u.path] = _on_column(F.col(f"`{u.path}`"), schema[u.path].dataType, u) if not isinstance(schema[u.path].dataType, T.VariantType) else _on_variant(F.col(f"`{u.path}`"), u)
@@ -150,12 +172,12 @@ def updated_columns(schema: T.StructType, updates: list[Update], nested: bool) -
             raise ValueError(f"no column {column}")
         kind, old = schema[column].dataType, out.get(column, F.col(f"`{column}`"))
         if isinstance(kind, T.VariantType):
-            out[column] = update_variant(old, tuple(rest), u)
+            inside.setdefault(column, []).append((tuple(rest), u))
         elif isinstance(kind, T.StructType):
             out[column] = _on_struct(old, kind, tuple(rest), u)
         else:
             raise ValueError(f"{column} has no fields")
-    return out
+    return out | {c: update_variant(F.col(f"`{c}`"), own) for c, own in inside.items()}
 
 
 def apply_updates(df: DataFrame, updates: list[Update], condition: Column | None = None, nested: bool = False) -> DataFrame:

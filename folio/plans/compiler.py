@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from folio.functions.aggregates import aggregate
 from folio.functions.scalar import scalar
-from folio.operators.fields import Scope, Value, as_value
+from folio.operators.fields import Scope, Value, as_value, canonical, ranked
 from folio.operators.filters import predicate
 from folio.plans import ast as A
 
@@ -110,9 +110,8 @@ def _ordered(columns: list[tuple[Value | Column, A.Order]]) -> list[Column]:
     out = []
     for value, order in columns:
         if isinstance(value, Value) and value.type is None:
-            cols = [F.try_variant_get(value.column, "$", "double"), F.try_variant_get(value.column, "$", "string")]
-            number_first = F.when(cols[0].isNotNull(), 1).when(cols[1].isNotNull(), 2)
-            cols = [number_first, *cols]
+            key = ranked(value.column)
+            cols = [key[part] for part in ("rank", "number", "said", "json")]
         else:
             cols = [value.column if isinstance(value, Value) else value]
         out += [c.asc_nulls_first() if order is A.Order.ASC else c.desc_nulls_last() for c in cols]
@@ -172,11 +171,7 @@ def _key(value: Value) -> tuple[Column, bool]:
     """A column to group by, and whether it is the text of untyped JSON (numbers in one form)."""
     if value.type is not None:
         return value.column, False
-    number = F.schema_of_variant(value.column).rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)")
-    double = F.try_variant_get(value.column, "$", "double")
-    whole = F.try_variant_get(value.column, "$", "bigint")
-    text = F.when(number & (double == whole), whole.cast("string")).when(number, double.cast("string")).otherwise(F.to_json(value.column))
-    return F.when(~F.is_variant_null(value.column), text), True
+    return canonical(value.column), True
 
 
 def _grouped(df: DataFrame, scope: Scope, query: A.Query, selections: list[A.Select]) -> DataFrame:
@@ -241,7 +236,7 @@ def _grouped(df: DataFrame, scope: Scope, query: A.Query, selections: list[A.Sel
         name = after(k.expr)
         if name is None:
             raise ValueError(f"cannot sort by {k.expr}: it is neither grouped nor aggregated")
-        order.append((F.col(name), k.order))
+        order.append((as_value(F.col(name), out.schema[name].dataType), k.order))
     if order:
         out = out.orderBy(*_ordered(order))
     out = _paged(out, query.page)
