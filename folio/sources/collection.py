@@ -1,13 +1,20 @@
-"""Stored collections: immutable snapshots, one atomic commit file per version, set-based write verbs."""
+"""Stored collections: immutable files in key buckets, one atomic commit file per version, set-based write verbs.
+
+Rows are bucketed by a hash of their key. A commit file lists the folder of every bucket; a write
+that knows its keys rewrites the buckets of these keys only and lists the other folders again.
+"""
 
 from __future__ import annotations
 
 import json
 import threading
+import time
 import uuid
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterator, Mapping
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from enum import Enum
+from functools import wraps
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
@@ -106,6 +113,30 @@ class BulkResult:
 NESTED_SCHEMA = T.StructType([T.StructField("id", T.StringType()), T.StructField("document", T.VariantType()), T.StructField("created_at", T.TimestampType()), T.StructField("updated_at", T.TimestampType())])
 
 
+def as_document(text: str) -> dict:
+    """A result's JSON text as a document; what cannot be read becomes a document that says why."""
+    try:
+        return json.loads(text)
+    except (TypeError, ValueError) as e:
+        return {"errorMessage": str(e)}
+
+
+def _retried(verb: Callable) -> Callable:
+    """A lost commit is tried again on the new version, twice and 10 ms apart."""
+
+    @wraps(verb)
+    def run(self: Collection, *args: Any, **kw: Any) -> Any:
+        for left in (2, 1, 0):
+            try:
+                return verb(self, *args, **kw)
+            except ConcurrentWriteError:
+                if not left:
+                    raise
+                time.sleep(0.01)
+
+    return run
+
+
 def tenant_key(tenant: str, value: Any) -> str:
     return f"{tenant}:{value}"
 
@@ -116,6 +147,10 @@ class _Store:
     def __init__(self, spark: SparkSession, base: str):
         self.jvm, self.conf, self.base = spark._jvm, spark._jsc.hadoopConfiguration(), base.rstrip("/")
         self.fs = self.path("").getFileSystem(self.conf)
+        gateway = spark.sparkContext._gateway
+        self.none = gateway.new_array(self.jvm.java.lang.String, 0)
+        self.careful = gateway.new_array(getattr(self.jvm.org.apache.hadoop.fs, "Options$Rename"), 1)
+        self.careful[0] = getattr(self.jvm.org.apache.hadoop.fs, "Options$Rename").NONE
 
     def path(self, rest: str) -> Any:
         return self.jvm.org.apache.hadoop.fs.Path(f"{self.base}/{rest}" if rest else self.base)
@@ -132,16 +167,29 @@ class _Store:
             stream.close()
 
     def create(self, rest: str, text: str) -> bool:
-        """Whether this call made the file; it never overwrites one."""
+        """Whether this call made the file, which is seen with all its content or not at all; it never overwrites one.
+
+        The content is written aside first. Local files get their name by a hard link, others by a
+        rename without overwriting, which is atomic where the file system's rename is (HDFS and
+        alike; object stores need a connector that offers it).
+        """
+        aside, target = self.path(f"{rest}.{uuid.uuid4().hex}.tmp"), self.path(rest)
+        stream = self.fs.create(aside, False)
+        stream.write(bytearray(text.encode()))
+        stream.close()
         try:
-            stream = self.fs.create(self.path(rest), False)
+            if self.fs.getUri().getScheme() == "file":
+                at = lambda p: self.jvm.java.nio.file.Path.of(p.toUri().getPath(), self.none)
+                self.jvm.java.nio.file.Files.createLink(at(target), at(aside))
+            else:
+                self.jvm.org.apache.hadoop.fs.FileContext.getFileContext(self.fs.getUri(), self.conf).rename(aside, target, self.careful)
+            return True
         except Exception as e:
-            if "FileAlreadyExists" in str(e):
+            if "AlreadyExists" in str(e):
                 return False
             raise
-        stream.write(bytearray(text.encode()))
-        stream.close()
-        return True
+        finally:
+            self.fs.delete(aside, False)
 
     def delete(self, rest: str) -> bool:
         return self.fs.delete(self.path(rest), True)
@@ -155,22 +203,37 @@ class Datastore:
         self._store = _Store(spark, base_path)
 
     def list_collections(self) -> list[str]:
-        return [n for n in self._store.names("") if "_meta.json" in self._store.names(n)]
+        """Names, those in a schema as ``schema.name``."""
+        out = []
+        for n in self._store.names(""):
+            inner = self._store.names(n)
+            out += [n] if "_meta.json" in inner else [f"{n}.{m}" for m in inner if "_meta.json" in self._store.names(f"{n}/{m}")]
+        return out
 
-    def create_collection(self, name: str, doc_type: DocumentType = DocumentType.NESTED, schema: T.StructType | None = None, key: str = "id", updated_column: str | None = None, strategy: MissingColumnStrategy = MissingColumnStrategy.SKIP) -> bool:
-        """True when the collection exists afterwards."""
-        A.check_name(name)
+    @staticmethod
+    def folder(name: str) -> str:
+        """The folder of ``name`` or ``schema.name``."""
+        parts = name.split(".")
+        if len(parts) > 2:
+            raise ValueError(f"not a collection name: {name!r}")
+        for part in parts:
+            A.check_name(part)
+        return "/".join(parts)
+
+    def create_collection(self, name: str, doc_type: DocumentType = DocumentType.NESTED, schema: T.StructType | None = None, key: str = "id", updated_column: str | None = None, strategy: MissingColumnStrategy = MissingColumnStrategy.SKIP, buckets: int = 16) -> bool:
+        """True when the collection exists afterwards; ``buckets`` should follow the size it will have."""
+        folder = self.folder(name)
         if name in self.list_collections():
             return True
         if doc_type is DocumentType.FLAT and (schema is None or key not in schema.fieldNames()):
             raise ValueError("a flat collection needs a schema with its key")
-        meta = {"type": doc_type.value, "key": key if doc_type is DocumentType.FLAT else "id", "updated": updated_column, "strategy": strategy.value, "schema": (schema or NESTED_SCHEMA).json()}
-        made = self._store.create(f"{name}/_meta.json", json.dumps(meta))
-        self.collection(name)._commit(self.spark.createDataFrame([], schema or NESTED_SCHEMA))
+        meta = {"type": doc_type.value, "key": key if doc_type is DocumentType.FLAT else "id", "updated": updated_column, "strategy": strategy.value, "buckets": buckets, "schema": (schema or NESTED_SCHEMA).json()}
+        made = self._store.create(f"{folder}/_meta.json", json.dumps(meta))
+        self._store.create(f"{folder}/commit-1", "{}")
         return made
 
     def delete_collection(self, name: str) -> bool:
-        return self._store.delete(name)
+        return self._store.delete(self.folder(name))
 
     def collection(self, name: str) -> Collection:
         """A missing one is created as NESTED."""
@@ -193,7 +256,9 @@ class Collection:
 
     def __init__(self, store: Datastore, name: str):
         self.store, self.name, self.spark = store, name, store.spark
-        meta = json.loads(store._store.read(f"{name}/_meta.json"))
+        self.folder = store.folder(name)
+        meta = json.loads(store._store.read(f"{self.folder}/_meta.json"))
+        self.buckets = meta["buckets"]
         self.type, self.key = DocumentType(meta["type"]), meta["key"]
         self.updated_column, self.strategy = meta["updated"], MissingColumnStrategy(meta["strategy"])
         self.schema = T.StructType.fromJson(json.loads(meta["schema"]))
@@ -201,27 +266,50 @@ class Collection:
     # ---- snapshots
 
     def version(self) -> int:
-        return max((int(n.removeprefix("commit-")) for n in self.store._store.names(self.name) if n.startswith("commit-")), default=0)
+        return max((int(n.removeprefix("commit-")) for n in self.store._store.names(self.folder) if n.startswith("commit-") and not n.endswith(".tmp")), default=0)
+
+    def _parts(self, version: int) -> dict[str, str]:
+        """Folder by bucket."""
+        return json.loads(self.store._store.read(f"{self.folder}/commit-{version}")) if version else {}
 
-    def _commit(self, df: DataFrame, base: int = 0) -> None:
+    def _bucket(self, key: Column) -> Column:
+        return F.pmod(F.xxhash64(key.cast("string")), F.lit(self.buckets)).cast("int")
+
+    def _buckets_of(self, rows: DataFrame) -> set[str]:
+        """Buckets of the rows' keys: at most as many as there are."""
+        return {str(r[0]) for r in rows.select(self._bucket(F.col(self.key))).distinct().collect()}
+
+    def _keys(self, keys: Any) -> DataFrame:
+        """Keys as a table, to join with instead of a long list."""
+        return self.spark.createDataFrame([(str(k),) for k in keys], f"`{self.key}` string")
+
+    def _commit(self, df: DataFrame, base: int = 0, touched: set[str] | None = None) -> None:
+        """``df`` becomes the content of the ``touched`` buckets, of all if none are named."""
         snap = f"snap-{base + 1}-{uuid.uuid4().hex[:8]}"
-        df.select(*[F.col(f"`{f.name}`").cast(f.dataType) for f in self.schema.fields]).write.parquet(f"{self.store.base}/{self.name}/{snap}")
-        if not self.store._store.create(f"{self.name}/commit-{base + 1}", snap):
-            self.store._store.delete(f"{self.name}/{snap}")
+        rows = df.select(*[F.col(f"`{f.name}`").cast(f.dataType) for f in self.schema.fields]).withColumn("_bucket", self._bucket(F.col(f"`{self.key}`")))
+        rows.hint("rebalance", "_bucket").write.partitionBy("_bucket").parquet(f"{self.store.base}/{self.folder}/{snap}")
+        kept = {} if touched is None else {b: p for b, p in self._parts(base).items() if b not in touched}
+        made = {n.removeprefix("_bucket="): f"{snap}/{n}" for n in self.store._store.names(f"{self.folder}/{snap}") if n.startswith("_bucket=")}
+        if not self.store._store.create(f"{self.folder}/commit-{base + 1}", json.dumps(kept | made)):
+            self.store._store.delete(f"{self.folder}/{snap}")
             raise ConcurrentWriteError(self.name)
 
-    def dataframe(self, version: int | None = None) -> DataFrame:
-        v = self.version() if version is None else version
-        snap = self.store._store.read(f"{self.name}/commit-{v}")
-        return self.spark.read.schema(self.schema).parquet(f"{self.store.base}/{self.name}/{snap}")
+    def dataframe(self, version: int | None = None, buckets: set[str] | None = None) -> DataFrame:
+        parts = self._parts(self.version() if version is None else version)
+        paths = [f"{self.store.base}/{self.folder}/{p}" for b, p in sorted(parts.items()) if buckets is None or b in buckets]
+        return self.spark.read.schema(self.schema).parquet(*paths) if paths else self.spark.createDataFrame([], self.schema)
+
+    def load(self, df: DataFrame) -> None:
+        """Replace the content by the rows of ``df``, which have the collection's columns and one row a key."""
+        self._commit(df, self.version())
 
     def vacuum(self) -> None:
-        """Drop all snapshots but the last."""
+        """Drop all commits but the last, and the folders that it does not list."""
         keep = self.version()
-        for n in self.store._store.names(self.name):
-            if n.startswith("commit-") and int(n.removeprefix("commit-")) < keep:
-                self.store._store.delete(f"{self.name}/{self.store._store.read(f'{self.name}/{n}')}")
-                self.store._store.delete(f"{self.name}/{n}")
+        used = {p.split("/")[0] for p in self._parts(keep).values()}
+        for n in self.store._store.names(self.folder):
+            if (n.startswith("commit-") and n != f"commit-{keep}") or (n.startswith("snap-") and n not in used):
+                self.store._store.delete(f"{self.folder}/{n}")
 
     def source(self, df: DataFrame | None = None) -> Source:
         return Source(self.dataframe() if df is None else df, self.nested, self.key)
@@ -239,36 +327,61 @@ class Collection:
 
     def documents(self, query: A.Query, options: QueryOptions | None = None) -> list[dict]:
         """Result documents; a query that outlives its timeout is cancelled."""
-        rows = self._timed(documents(self.query(query)), options or QueryOptions())
-        return [json.loads(r["document"]) for r in rows]
-
-    def _timed(self, df: DataFrame, options: QueryOptions) -> list[Row]:
+        return list(self.iterate(query, options))
+
+    def iterate(self, query: A.Query, options: QueryOptions | None = None) -> Iterator[dict]:
+        """Result documents as they come, one partition on the driver at a time.
+
+        A text that cannot be read comes as ``{"errorMessage": ...}``.
+        """
+        options = options or QueryOptions()
+        until = time.monotonic() + options.timeout_seconds
+        with self._limited(options):
+            for row in documents(self.query(query)).toLocalIterator():
+                if time.monotonic() > until:
+                    raise TimeoutError(f"{self.name}: over {options.timeout_seconds} s")
+                yield as_document(row["document"])
+
+    @contextmanager
+    def _limited(self, options: QueryOptions) -> Iterator[None]:
+        """Cancels the jobs inside when the time is over."""
         tag = f"folio-{uuid.uuid4().hex}"
         self.spark.addTag(tag)
         timer = threading.Timer(options.timeout_seconds, lambda: self.spark.interruptTag(tag))
         timer.daemon = True
         timer.start()
         try:
-            return df.collect()
+            yield
         finally:
             timer.cancel()
             self.spark.removeTag(tag)
 
+    def _timed(self, df: DataFrame, options: QueryOptions | None) -> list[Row]:
+        with self._limited(options or QueryOptions()):
+            return df.collect()
+
     def search(self, query: LegacyQuery) -> DataFrame:
         return compile_query(translate(query, None if self.nested else self.schema), self.source())
 
-    def count(self, query: A.Query | None = None) -> int:
-        return self.dataframe().count() if query is None else count_query(query, self.source()).first()[0]
+    def count(self, query: A.Query | None = None, options: QueryOptions | None = None) -> int:
+        return self._timed(count_query(query or A.Query(), self.source()), options)[0][0]
 
-    def total(self, query: LegacyQuery) -> int:
+    def total(self, query: LegacyQuery, options: QueryOptions | None = None) -> int:
         """Rows that the older query matches, whatever its limit and offset."""
-        return self.search(LegacyQuery(filter=query.filter)).count()
+        return self._timed(self.search(LegacyQuery(filter=query.filter)).agg(F.count(F.lit(1))), options)[0][0]
 
     def metrics(self, name: str, query: A.Query) -> DataFrame:
         return custom_metric(name, query, self.source())
 
     def get(self, *keys: str) -> DataFrame:
-        return self.dataframe().filter(F.col(self.key).cast("string").isin(list(map(str, keys))))
+        """The rows of these keys, read from their buckets alone."""
+        wanted = self._keys(keys)
+        return self._among(self.dataframe(None, self._buckets_of(wanted)), wanted)
+
+    def _among(self, df: DataFrame, rows: DataFrame) -> DataFrame:
+        """Rows of ``df`` whose key is among those of ``rows``."""
+        mine = rows.select(F.col(f"`{self.key}`").cast("string").alias("_wanted")).distinct()
+        return df.join(mine, F.col(f"`{self.key}`").cast("string") == F.col("_wanted"), "left_semi")
 
     # ---- documents to rows
 
@@ -311,30 +424,34 @@ class Collection:
             value = one(f.dataType)
         return value.cast(f.dataType).alias(f.name)
 
-    def _known(self, df: DataFrame, keys: Iterable[str]) -> set[str]:
-        k = F.col(self.key).cast("string")
-        return {r[0] for r in df.filter(k.isin(list(map(str, keys)))).select(k).collect()}
+    def _known(self, df: DataFrame, rows: DataFrame) -> set[str]:
+        """Keys of ``rows``, which a request holds, that ``df`` has."""
+        return {r[0] for r in self._among(df, rows).select(F.col(f"`{self.key}`").cast("string")).collect()}
 
     # ---- keyed writes
 
+    @_retried
     def create(self, key: str, doc: Mapping[str, Any]) -> CreateResult:
         v = self.version()
-        base = self.dataframe(v)
-        if self._known(base, [key]):
-            raise DuplicateDocumentError(key)
         rows, results = self._rows({key: doc})
+        touched = self._buckets_of(self._keys([key]))
+        base = self.dataframe(v, touched)
+        if self._known(base, self._keys([key])):
+            raise DuplicateDocumentError(key)
         if results[key].status is not CreateStatus.IGNORED:
-            self._commit(base.unionByName(rows), v)
+            self._commit(base.unionByName(rows), v, touched)
         return results[key]
 
+    @_retried
     def _write(self, docs: Mapping[str, Mapping[str, Any]], replace: bool) -> tuple[int, set[str]]:
-        """Merge all documents in one snapshot; the version before, and the keys that were there."""
+        """Merge all documents in one commit; the version before, and the keys that were there."""
         v = self.version()
-        base = self.dataframe(v)
         rows, _ = self._rows(docs)
-        known = self._known(base, docs)
+        touched = self._buckets_of(self._keys(docs))
+        base = self.dataframe(v, touched)
+        known = self._known(base, self._keys(docs))
         if not self.nested:
-            self._commit(merge_rows(base, rows, self.key, keep_missing=not replace), v)
+            self._commit(merge_rows(base, rows, self.key, keep_missing=not replace), v, touched)
             return v, known
         new = rows.select("id", F.col("document").alias("_new"), F.col("updated_at").alias("_now"))
         both = base.join(new, "id", "full")
@@ -342,7 +459,7 @@ class Collection:
         old_map, new_map = fields(F.col("document")), fields(F.col("_new"))
         merged = F.to_variant_object(F.map_concat(F.map_filter(old_map, lambda k, x: ~F.map_contains_key(new_map, k)), new_map))
         doc = F.when(F.col("_new").isNull(), F.col("document")).when(F.lit(replace) | F.col("document").isNull(), F.col("_new")).otherwise(merged)
-        self._commit(both.select("id", doc.alias("document"), F.coalesce("created_at", "_now").alias("created_at"), F.coalesce("_now", "updated_at").alias("updated_at")), v)
+        self._commit(both.select("id", doc.alias("document"), F.coalesce("created_at", "_now").alias("created_at"), F.coalesce("_now", "updated_at").alias("updated_at")), v, touched)
         return v, known
 
     def create_or_replace(self, key: str, doc: Mapping[str, Any]) -> bool:
@@ -376,8 +493,9 @@ class Collection:
         v, _ = self._write(docs, True)
         return self._older(v, docs)
 
-    def _older(self, version: int, keys: Iterable[str]) -> DataFrame:
-        return self.dataframe(version).filter(F.col(self.key).cast("string").isin(list(map(str, keys))))
+    def _older(self, version: int, keys: Mapping[str, Any]) -> DataFrame:
+        wanted = self._keys(keys)
+        return self._among(self.dataframe(version, self._buckets_of(wanted)), wanted)
 
     def _condition(self, c: LegacyFilter | A.Predicate | None) -> A.Predicate | None:
         return translate_filter(c, None if self.nested else self.schema) if isinstance(c, LegacyFilter) else c
@@ -387,17 +505,24 @@ class Collection:
         return self.bulk_update_documents([UpdateRequest(key, doc, condition)]).updated == 1
 
     def bulk_update_documents(self, requests: list[UpdateRequest]) -> BulkResult:
-        ready, failed = {}, []
-        src = self.source()
+        """Merge each request's document where its key exists and its condition holds; all are tested in one pass."""
+        conditions: dict[str, tuple[int, A.Predicate | None]] = {}
+        asked = []
         for r in requests:
-            test = A.Keys(r.key) if r.condition is None else A.And(A.Keys(r.key), self._condition(r.condition))
-            if src.df.filter(predicate(test, src.scope())).limit(1).count():
-                ready[r.key] = r.document
-            else:
-                failed.append(r.key)
+            test = self._condition(r.condition)
+            asked.append((str(r.key), conditions.setdefault(repr(test), (len(conditions), test))[0]))
+        wanted = self.spark.createDataFrame(asked, f"`{self.key}` string, _test int")
+        base = self.dataframe(None, self._buckets_of(wanted))
+        scope = self.source(base).scope()
+        met = base.join(wanted.withColumnRenamed(self.key, "_wanted"), F.col(f"`{self.key}`").cast("string") == F.col("_wanted"))
+        holds = F.lit(False)
+        for n, test in conditions.values():
+            holds = holds | ((F.col("_test") == n) & (F.lit(True) if test is None else F.coalesce(predicate(test, scope), F.lit(False))))
+        found = {r[0] for r in met.filter(holds).select("_wanted").collect()}
+        ready = {r.key: r.document for r in requests if str(r.key) in found}
         if ready:
             self._write(ready, False)
-        return BulkResult(len(ready), tuple(failed))
+        return BulkResult(len(ready), tuple(r.key for r in requests if str(r.key) not in found))
 
     # ---- sub-document updates
 
@@ -407,10 +532,11 @@ class Collection:
             return df
         return df.withColumn(column, F.when(F.coalesce(hit, F.lit(False)), F.current_timestamp().cast(df.schema[column].dataType)).otherwise(F.col(column)))
 
-    def _apply(self, base: DataFrame, hit: Column, updates: list[Update], version: int) -> None:
+    def _apply(self, base: DataFrame, hit: Column, updates: list[Update], version: int, touched: set[str] | None = None) -> None:
         marked = base.withColumn("_hit", F.coalesce(hit, F.lit(False)))
-        self._commit(self._touched(apply_updates(marked, updates, F.col("_hit"), self.nested), F.col("_hit")), version)
+        self._commit(self._touched(apply_updates(marked, updates, F.col("_hit"), self.nested), F.col("_hit")), version, touched)
 
+    @_retried
     def update(self, query: A.Query, updates: list[Update], options: UpdateOptions | None = None) -> DataFrame | None:
         """Update the first row of the query, by its sort and then by key; the row before or after, or None."""
         validate(updates)
@@ -424,7 +550,8 @@ class Collection:
                 return self._create_from(query, updates, options, v)
             return None
         hit = F.col(self.key) == F.lit(found["found"])
-        self._apply(base, hit, updates, v)
+        touched = self._buckets_of(self._keys([found["found"]]))
+        self._apply(self.dataframe(v, touched), hit, updates, v, touched)
         if options.returns is ReturnDocument.NONE:
             return None
         return (base if options.returns is ReturnDocument.BEFORE else self.dataframe()).filter(hit)
@@ -434,9 +561,11 @@ class Collection:
             raise ValueError("creating by updates needs a filter on one key")
         key = query.where.keys[0]
         fresh, _ = self._rows({key: {}})
-        self._commit(self.dataframe(version).unionByName(apply_updates(fresh, updates, None, self.nested).select(*self.schema.fieldNames())), version)
+        touched = self._buckets_of(self._keys([key]))
+        self._commit(self.dataframe(version, touched).unionByName(apply_updates(fresh, updates, None, self.nested).select(*self.schema.fieldNames())), version, touched)
         return self.get(key) if options.returns is ReturnDocument.AFTER else None
 
+    @_retried
     def bulk_update(self, query: A.Query, updates: list[Update], options: UpdateOptions | None = None) -> DataFrame | None:
         """Update every row that the filter matches; the rows before, those matching after, or None."""
         validate(updates)
@@ -449,21 +578,24 @@ class Collection:
             return None
         return self.query(query) if options.returns is ReturnDocument.AFTER else compile_query(query, src)
 
+    @_retried
     def bulk_update_by_key(self, updates: Mapping[str, list[Update]]) -> BulkResult:
-        """Each key's own updates, in one snapshot; keys that are not there are reported."""
+        """Each key's own updates, in one commit; keys that are not there are reported."""
         v = self.version()
-        df = self.dataframe(v)
-        known = self._known(df, updates)
-        groups: dict[str, tuple[list[Update], list[str]]] = {}
+        groups: dict[str, tuple[int, list[Update]]] = {}
+        asked = []
         for key, own in updates.items():
             validate(own)
-            if str(key) in known:
-                groups.setdefault(repr(own), (own, []))[1].append(str(key))
-        for own, keys in groups.values():
-            hit = F.col(self.key).cast("string").isin(keys)
-            df = self._touched(apply_updates(df, own, hit, self.nested), hit)
-        if groups:
-            self._commit(df, v)
+            asked.append((str(key), groups.setdefault(repr(own), (len(groups), own))[0]))
+        wanted = self.spark.createDataFrame(asked, f"`{self.key}` string, _group int")
+        touched = self._buckets_of(wanted)
+        base = self.dataframe(v, touched)
+        known = self._known(base, wanted)
+        if known:
+            df = base.join(wanted.withColumnRenamed(self.key, "_wanted"), F.col(f"`{self.key}`").cast("string") == F.col("_wanted"), "left")
+            for n, own in groups.values():
+                df = apply_updates(df, own, F.col("_group") == n, self.nested)
+            self._commit(self._touched(df, F.col("_group").isNotNull()), v, touched)
         return BulkResult(len(known), tuple(str(k) for k in updates if str(k) not in known))
 
     def update_sub_doc(self, key: str, path: str, value: Any) -> bool:
@@ -485,17 +617,20 @@ class Collection:
     def delete(self, *keys: str) -> bool:
         return self.delete_where(A.Keys(*keys)) > 0
 
+    @_retried
     def delete_where(self, condition: LegacyFilter | A.Predicate | None) -> int:
-        """Number of rows deleted; a missing condition is refused."""
+        """Number of rows deleted; a missing condition is refused. Keys alone touch their buckets only."""
         if condition is None:
             raise ValueError("a delete needs a filter; delete_all empties the collection")
-        v = self.version()
-        src = self.source(self.dataframe(v))
-        left = delete_rows(src, self._condition(condition))
-        before = src.df.count()
-        self._commit(left, v)
-        return before - self.dataframe().count()
-
+        test, v = self._condition(condition), self.version()
+        touched = self._buckets_of(self._keys(test.keys)) if isinstance(test, A.Keys) else None
+        src = self.source(self.dataframe(v, touched))
+        gone = src.df.filter(predicate(test, src.scope())).count()
+        if gone:
+            self._commit(delete_rows(src, test), v, touched)
+        return gone
+
+    @_retried
     def delete_all(self) -> bool:
         self._commit(self.spark.createDataFrame([], self.schema), self.version())
         return True

@@ -134,3 +134,60 @@ def test_update_validation():
         Update("a", UpdateOp.ADD, "x")
     with pytest.raises(TypeError):
         Update("a", UpdateOp.APPEND_TO_LIST, "x")
+
+
+def test_writes_touch_the_buckets_of_their_keys(store):
+    c = store.collection("t")
+    c.bulk_upsert({str(k): {"n": k} for k in range(200)})
+    before = c._parts(c.version())
+    c.upsert("7", {"n": -7})
+    c.update_sub_doc("7", "m", 1)
+    after = c._parts(c.version())
+    assert len(before) == c.buckets and sum(before[b] != after[b] for b in before) == 1
+    assert docs(c.get("7")) == {"7": {"n": -7, "m": 1}} and c.count() == 200
+    c.vacuum()
+    assert c.count() == 200 and c.delete("7", "8") and c.count() == 198
+
+
+def test_a_lost_commit_is_tried_again(store, monkeypatch):
+    c = store.collection("t")
+    c.create("1", {"n": 1})
+    real, lost = C.Collection._commit, []
+
+    def first_loses(self, df, base=0, touched=None):
+        if len(lost) < 2:
+            lost.append(base)
+            raise C.ConcurrentWriteError(self.name)
+        return real(self, df, base, touched)
+
+    monkeypatch.setattr(C.Collection, "_commit", first_loses)
+    assert c.upsert("1", {"m": 2}) is False and docs(c.dataframe()) == {"1": {"n": 1, "m": 2}}
+    monkeypatch.setattr(C.Collection, "_commit", lambda *a: (_ for _ in ()).throw(C.ConcurrentWriteError("t")))
+    with pytest.raises(C.ConcurrentWriteError):
+        c.upsert("1", {"m": 3})
+
+
+def test_commit_files_have_all_their_content_or_are_not_there(store):
+    c = store.collection("t")
+    assert store._store.create("t/commit-9", "{}") and not store._store.create("t/commit-9", '{"0": "x"}')
+    assert store._store.read("t/commit-9") == "{}" and not [n for n in store._store.names("t") if n.endswith(".tmp")]
+    assert c.version() == 9
+
+
+def test_names_in_a_schema(store):
+    assert store.create_collection("area.t") and store.list_collections() == ["area.t"]
+    store.collection("area.t").create("1", {"n": 1})
+    assert store.collection("area.t").count() == 1 and store.delete_collection("area.t") and store.list_collections() == []
+    for bad in ("a.b.c", "a b", ""):
+        with pytest.raises(ValueError):
+            store.create_collection(bad)
+
+
+def test_documents_come_one_by_one_within_their_time(store):
+    c = store.collection("t")
+    c.bulk_upsert({str(k): {"n": k} for k in range(20)})
+    q = A.Query(select=(A.Select(A.Ident("n")),))
+    assert sorted(d["n"] for d in c.iterate(q)) == list(range(20))
+    with pytest.raises(TimeoutError):
+        list(c.iterate(q, C.QueryOptions(timeout_seconds=0)))
+    assert set(C.as_document("{oops")) == {"errorMessage"} and C.as_document('{"a":1}') == {"a": 1}
