@@ -246,6 +246,28 @@ register("nested_contains_document", nested_orders, Query(select=(Select(Ident("
 register("nested_sort", nested_orders, Query(select=(Select(Ident("key", DataType.LONG), "k"),), order_by=(SortKey(I("money.total"), Order.DESC), SortKey(I("key"))), page=Page(20)), "SELECT o_orderkey AS k FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 20")
 
 
+# numbers of different length and kind, compared by value
+for _name, _op, _sql in (("min", Aggregate.MIN, "min(o_totalprice)"), ("max", Aggregate.MAX, "max(o_totalprice)")):
+    register(f"nested_{_name}", nested_orders, Query(select=(Select(Ident("status", DataType.STRING), "status"), agg(_op, "money.total", "v")), group_by=(Ident("status", DataType.STRING),)), f"SELECT o_orderstatus AS status, {_sql} AS v FROM orders GROUP BY 1", lambda d: d.withColumn("v", F.try_variant_get("v", "$", "double")))
+register("nested_last", nested_orders, Query(select=(Select(Ident("status", DataType.STRING), "status"), agg(Aggregate.LAST, "key", "v", order_by=I("money.total"))), group_by=(Ident("status", DataType.STRING),)), "SELECT o_orderstatus AS status, arg_max(o_orderkey, o_totalprice) AS v FROM orders GROUP BY 1", lambda d: d.withColumn("v", F.try_variant_get("v", "$", "bigint")))
+register("nested_distinct_array", nested_orders, Query(select=(Select(Ident("status", DataType.STRING), "status"), agg(Aggregate.DISTINCT_ARRAY, "money.cust", "v")), group_by=(Ident("status", DataType.STRING),)), "SELECT o_orderstatus AS status, list_sort(list(DISTINCT o_custkey)) AS v FROM orders GROUP BY 1", lambda d: d.withColumn("v", F.transform("v", lambda x: F.try_variant_get(x, "$", "bigint"))))
+register("nested_distinct_count", nested_orders, Query(select=(agg(Aggregate.DISTINCT_COUNT, "money.cust", "v"), agg(Aggregate.COUNT, "money.cust", "n"))), "SELECT count(DISTINCT o_custkey) AS v, count(o_custkey) AS n FROM orders")
+register("agg_direct_func_key", "orders", Query(select=(agg(Aggregate.COUNT, Const(1), "n"),), group_by=(Func(Function.FLOOR, Func(Function.DIVIDE, I("o_totalprice"), Const(50000))),)), "SELECT count(*) AS n FROM orders GROUP BY floor(o_totalprice / 50000)")
+register("sort_function", "customer", Query(select=cols("c_custkey"), order_by=(SortKey(Func(Function.ABS, I("c_acctbal")), Order.DESC), SortKey(I("c_custkey"))), page=Page(30)), "SELECT c_custkey FROM customer ORDER BY abs(c_acctbal) DESC, c_custkey LIMIT 30")
+register("sort_aggregate", "orders", Query(select=cols("o_custkey"), group_by=(I("o_custkey"),), order_by=(SortKey(Agg(Aggregate.MAX, I("o_totalprice")), Order.DESC), SortKey(I("o_custkey"))), page=Page(12)), "SELECT o_custkey FROM orders GROUP BY 1 ORDER BY max(o_totalprice) DESC, 1 LIMIT 12")
+register("sort_repeated_key", "customer", Query(select=cols("c_custkey"), order_by=(SortKey(I("c_nationkey")), SortKey(I("c_nationkey"), Order.DESC), SortKey(I("c_custkey"))), page=Page(30)), "SELECT c_custkey FROM customer ORDER BY c_nationkey, c_custkey LIMIT 30")
+
+
+def _with_json(spark: SparkSession, sf_dir: str) -> Source:
+    """Orders with their flags as a JSON array in a column."""
+    df = order_items(spark, sf_dir).df
+    return Source(df.select("o_orderkey", F.parse_json(F.to_json(F.struct(F.col("flags").alias("marks")))).alias("props")), key="o_orderkey")
+
+
+register("unnest_json_array", _with_json, Query(select=(*_KEY, Select(JsonIdent("props", JsonType.STRING, "marks"), "flag")), source=(Unnest(JsonIdent("props", JsonType.STRING_ARRAY, "marks")),)), "SELECT DISTINCT o_orderkey, l_returnflag AS flag FROM orders JOIN lineitem ON o_orderkey = l_orderkey")
+_updated_json = "SELECT o_orderkey AS k, array_to_string(CASE WHEN flags IS NULL THEN {absent} ELSE {there} END, '+') AS flags FROM " + _FLAGS
+
+
 def _count_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_query(Query(select=(*cols("o_custkey"), agg(Aggregate.COUNT, Const(1), "n")), group_by=(I("o_custkey"),)), flat(spark, sf_dir, "orders"))
 
@@ -297,6 +319,11 @@ _updated(
 )
 
 
+_TEXT = ["try_variant_get(document, '$.key', 'bigint') AS k", "array_join(try_variant_get(document, '$.flags', 'array<string>'), '+') AS flags"]
+_updated("upd_nested_if_absent", nested_orders, [Update("flags", UpdateOp.ADD_TO_LIST_IF_ABSENT, ["A", "Z"])], _updated_json.format(absent="['A', 'Z']", there="CASE WHEN list_contains(flags, 'A') THEN list_concat(flags, ['Z']) ELSE list_concat(flags, ['A', 'Z']) END"), _TEXT)
+_updated("upd_nested_remove_all", nested_orders, [Update("flags", UpdateOp.REMOVE_ALL_FROM_LIST, ["A", "N"])], _updated_json.format(absent="NULL", there="list_filter(flags, lambda x: x NOT IN ('A', 'N'))"), _TEXT)
+
+
 def _merge(replace_rows: bool) -> Callable[[SparkSession, str], DataFrame]:
     from folio.sources.merge import merge_rows
 

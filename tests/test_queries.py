@@ -6,7 +6,10 @@ import duckdb
 import numpy as np
 import pytest
 
-from folio.plans.queries import ORACLES, QUERIES
+from folio.plans import queries
+from folio.sources import stored
+
+QUERIES, ORACLES = queries.QUERIES | stored.QUERIES, queries.ORACLES | stored.ORACLES
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
