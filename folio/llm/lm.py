@@ -1,139 +1,245 @@
 """Log-bilinear language model trained by noise-contrastive estimation, and unigram base scores.
 
-The model predicts units: frequent words are units of their own, all other words fall into units by
-their form, and a word within a form unit has its smoothed share of it. So every word, seen or not,
-has a normalised probability, and the model stays small however large the vocabulary grows.
+The model predicts units: every word that training met ``LEAST_COUNT`` times is a unit of its own (the
+most frequent ``UNITS`` of them), all other words fall into classes by their last letters, and a word
+within a class has its smoothed share of it. So every word, seen or not, has a normalised
+probability. A unit's score is ``(R1[before] + R2[last]) . Q[unit] + b[unit]``.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.llm.common import materialize
+from folio.llm.common import discard, materialize
+from folio.llm.simhash import LOWER, SPACE, text_chunks
 
 SMOOTH = 0.1
-#: Words that are units of their own, and words whose counts every task holds (each of at most ``SHORT`` bytes).
-OWN_UNITS, HEAD, SHORT = 96, 131_072, 64
-END = b" "  # no word holds white space
-#: Training goes ``PASSES`` times over all contexts that occur, ``BATCH`` of them at a time.
-WIDTH, NOISE, PASSES, BATCH = 32, 12, 100, 512
+#: A word is a unit of its own from this count on; so many of them at most; so many of these stand
+#: for themselves as context too, others by their class.
+LEAST_COUNT, UNITS, CONTEXTS = 16, 32_000, 1_000
+#: Classes of all other words, by a hash of so many last bytes.
+CLASSES, SUFFIX = 248, 3
+#: Words whose counts every task holds, at most, each of at most ``SHORT`` bytes; others are joined.
+HEAD, SHORT = 400_000, 64
+END = b" "  # words are kept with one space behind; this is the empty one
+#: Training goes over all tokens, ``BATCH`` at a time, each against ``NOISE`` noise tokens; these enter by
+#: their expectation over ``DRAWN`` tokens of the batch, so noise is drawn by frequency. Tasks start
+#: from common parameters, and what they learn is averaged after every ``ROUND`` tokens (at most
+#: ``PARTS`` times a pass). A corpus of fewer tokens is gone over again, up to ``PASSES`` times.
+WIDTH, NOISE, DRAWN, BATCH, ROUND, PARTS, PASSES = 16, 16, 96, 3072, 1 << 24, 8, 12
+#: Length of a parameter row's vector at most.
+LONGEST = 6.0
+#: Bytes of text that are cut together, parameter rows that are sent together, and contexts whose normalisers are.
+CHUNK, BLOCK, STRIP = 4 << 20, 1024, 192
 
 
 def held_out(doc_id: Column) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(10)) == 0
 
 
-def words_of(text: bytes | None) -> list[bytes]:
-    """Words of the lower-cased text; bytes know only ASCII letters and white space."""
-    return (text or b"").lower().split()
+def words_of(texts: list[bytes]) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """(words of each text, the distinct words with a space behind, each word's place among them); A-Z lower-cased."""
+    raw = LOWER[np.frombuffer(b" ".join([*texts, b""]), np.uint8)]
+    gap = SPACE[raw]
+    first = ~gap
+    first[1:] &= gap[:-1]
+    ends = np.cumsum([0, *(len(t) + 1 for t in texts)])
+    n = np.diff(np.searchsorted(np.flatnonzero(first), ends))
+    keep = ~gap
+    keep[1:] |= gap[1:] & ~gap[:-1]
+    norm = raw[keep]
+    norm[SPACE[norm]] = 0x20
+    offsets = np.concatenate([[0], np.flatnonzero(norm == 0x20) + 1]).astype(np.int32)
+    found = pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(norm)]).dictionary_encode()
+    return n, found.dictionary, found.indices.to_numpy()
+
+
+def class_of(words: pa.Array) -> np.ndarray:
+    """0 to ``CLASSES`` - 1, from the last bytes of each word."""
+    at = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
+    data = np.frombuffer(words.buffers()[2] or b" ", np.uint8)
+    key = np.zeros(len(words), np.int64)
+    for back in range(2, 2 + SUFFIX):
+        place = at[1:] - back
+        key = key * 256 + np.where(place >= at[:-1], data[np.maximum(place, 0)], 0)
+    return (key * 2654435761 >> 15) % CLASSES
+
+
+class Units:
+    """Units of words: 0 is the end, then the words of their own, then the classes. Contexts likewise, with fewer words."""
+
+    def __init__(self, own: list[bytes]):
+        self.own = pa.array(own, pa.binary())
+        self.near = min(len(own), CONTEXTS)
+        self.targets, self.contexts = 1 + len(own) + CLASSES, 1 + self.near + CLASSES
+
+    def of(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(unit, unit as context) of each word."""
+        place = pc.index_in(words, value_set=self.own).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+        rest = class_of(words)
+        return np.where(place >= 0, 1 + place, 1 + len(self.own) + rest), np.where((place >= 0) & (place < self.near), 1 + place, 1 + self.near + rest)
+
+
+def tokens(n: np.ndarray, words: pa.Array, place: np.ndarray, units: Units) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text, before, last, next) of each token and end, from ``words_of``; a text begins as if after two ends."""
+    target, context = units.of(words)
+    ends = np.cumsum(n + 1) - 1
+    is_word = np.ones(len(place) + len(n), bool)
+    is_word[ends] = False
+    nxt, seen = np.zeros((2, len(is_word)), np.int32)
+    nxt[is_word], seen[is_word] = target[place], context[place]
+    last, before = np.zeros((2, len(is_word)), np.int32)
+    last[1:], before[2:] = seen[:-1], seen[:-2]
+    before[np.append(0, ends[:-1] + 1)[: len(n)]] = 0
+    return np.repeat(np.arange(len(n)), n + 1), before, last, nxt
+
+
+def _gather(ids: np.ndarray, grads: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of the rows of ``grads`` by id."""
+    order = np.argsort(ids)
+    ids = ids[order]
+    first = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
+    return ids[first], np.add.reduceat(grads[order], first, axis=0)
 
 
-# Letters that mark German, Spanish and French spelling.
-MARKS = tuple(tuple(c.encode() for c in letters) for letters in ("äöüß", "ñíóáú", "éèêçàùœ"))
-FORMS = 3 * 4 * 3 + 1
-
-
-def form_of(word: bytes) -> int:
-    """0 to ``FORMS`` - 1: last sign, letters beyond ASCII, length; the last form has no letters."""
-    if word[-1:] in b".!?":
-        tail = 0
-    elif word[-1:] in b",;:":
-        tail = 1
-    else:
-        tail = 2
-    if word.isascii():
-        if not any(97 <= c <= 122 for c in word):
-            return FORMS - 1
-        tongue = 0
-    else:
-        tongue = next((i + 1 for i, marks in enumerate(MARKS) if any(m in word for m in marks)), 3)
-    return (tail * 4 + tongue) * 3 + (0 if len(word) < 5 else 1 if len(word) < 9 else 2)
-
-
-class Units(dict):
-    """Word to unit: 0 is the end, then the words of their own, then the forms. Starts anew when large."""
-
-    def __init__(self, own: list[bytes], most: int = 400_000):
-        super().__init__()
-        self.own, self.most = {w: i + 1 for i, w in enumerate(own)}, most
-        self.count = 1 + len(own) + FORMS
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.most:
-            self.clear()
-        out = self[word] = self.own.get(word) or 1 + len(self.own) + form_of(word)
+class LogBilinear:
+    """The parameters: rows of ``R1``, then ``R2``, then ``Q``, whose last column is ``b``."""
+
+    def __init__(self, contexts: int, targets: int, table: np.ndarray):
+        self.contexts, self.targets, self.table = contexts, targets, table
+        self.r1, self.r2, self.q = table[:contexts, :WIDTH], table[contexts : 2 * contexts, :WIDTH], table[2 * contexts :]
+
+    @classmethod
+    def begin(cls, contexts: int, counts: np.ndarray, seed: int = 5) -> LogBilinear:
+        """Small random vectors and the units' own shares as biases."""
+        table = np.random.default_rng(seed).normal(0, 0.1, (2 * contexts + len(counts), WIDTH + 1)).astype(np.float32)
+        table[: 2 * contexts, WIDTH] = 0
+        table[2 * contexts :, WIDTH] = np.log((counts + 1) / (counts + 1).sum())
+        return cls(contexts, len(counts), table)
+
+    def train(self, batches: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], rate: float, seed: int) -> np.ndarray:
+        """Noise-contrastive steps over (before, last, next); how often each row was met as it comes in a text.
+
+        The biases stay at the logarithms of the units' shares, which are the noise too.
+        """
+        rng, met = np.random.default_rng(seed), np.zeros(len(self.table), np.int64)
+        squares = np.full(len(self.table), 10, np.float32)
+        base, lift = np.int32(2 * self.contexts), self.q[:, WIDTH] + np.float32(np.log(NOISE))
+        for h1, h2, u in batches:
+            h2 = h2 + np.int32(self.contexts)
+            ctx = self.table[h1] + self.table[h2]
+            ctx[:, WIDTH] = 1
+            drawn = u[rng.integers(0, len(u), DRAWN)]
+            q, qn = self.q[u], self.q[drawn]
+            right = 1 / (1 + np.exp(np.clip(np.einsum("ij,ij->i", ctx, q) - lift[u], -30, 30)))  # 1 - P(data)
+            wrong = np.float32(-NOISE / DRAWN) / (1 + np.exp(np.clip(lift[drawn] - ctx @ qn.T, -30, 30)))  # -P(data)
+            dctx = right[:, None] * q + wrong @ qn
+            ctx[:, WIDTH] = dctx[:, WIDTH] = 0
+            for ids, grads in ((np.concatenate([base + u, base + drawn]), np.concatenate([right[:, None] * ctx, wrong.T @ ctx])), (np.concatenate([h1, h2]), np.concatenate([dctx, dctx]))):
+                rows, total = _gather(ids, grads)
+                squares[rows] += np.einsum("ij,ij->i", total, total) / WIDTH
+                self.table[rows] += rate * total / np.sqrt(squares[rows])[:, None]
+            np.add.at(met, np.concatenate([h1, h2, base + u]), 1)
+        return met.astype(np.float32)
+
+    def settle(self) -> None:
+        """Vectors of a length over ``LONGEST`` are cut to it, so that no exponential can overflow."""
+        size = np.linalg.norm(self.table[:, :WIDTH], axis=1, keepdims=True)
+        self.table[:, :WIDTH] *= np.minimum(1, LONGEST / np.maximum(size, 1e-9))
+
+    def log_norms(self, rows: np.ndarray) -> np.ndarray:
+        """Natural logarithm of the sum over all units, for contexts (row, any), by matrix products in strips of units."""
+        out = np.zeros((len(rows), self.contexts))
+        for at in range(0, self.targets, 4096):
+            q = self.q[at : at + 4096]
+            out += np.exp(self.r1[rows] @ q[:, :WIDTH].T) @ np.exp(self.r2 @ q[:, :WIDTH].T + q[:, WIDTH]).T
+        return np.log(out)
+
+    def log10(self, norms: np.ndarray, h1: np.ndarray, h2: np.ndarray, u: np.ndarray) -> np.ndarray:
+        """Normalised log10 probabilities of the units."""
+        out = np.empty(len(u))
+        for at in range(0, len(u), 1 << 14):
+            s = slice(at, at + (1 << 14))
+            ctx = self.table[h1[s]] + self.table[self.contexts + h2[s]]
+            ctx[:, WIDTH] = 1
+            out[s] = (np.einsum("ij,ij->i", ctx, self.q[u[s]]) - norms[h1[s], h2[s]]) / np.float32(np.log(10))
         return out
 
 
-def trigrams(words: list[bytes], units: Units) -> np.ndarray:
-    """(before, last, next) units of each token and the end; a text begins as if after two ends."""
-    u = np.zeros(len(words) + 3, np.int64)
-    u[2:-1] = np.fromiter(map(units.__getitem__, words), np.int64, len(words))
-    return (u[:-2] * units.count + u[1:-1]) * units.count + u[2:]
+def train_model(spark: SparkSession, train: DataFrame, units: Units, counts: np.ndarray, total: int) -> tuple[LogBilinear, np.ndarray]:
+    """The model and its normalisers, from whole texts in the column ``text``; ``part`` spreads the rows over rounds.
 
+    What the driver and a task hold is bounded by the numbers of units, whatever the corpus.
+    """
+    model = LogBilinear.begin(units.contexts, counts)
+    passes = max(1, min(PASSES, -(-ROUND // max(total, 1)))) if total else 0
+    parts = max(1, min(PARTS, total // ROUND))
+    blocks = -(-len(model.table) // BLOCK)
+    for step in range(passes * parts):
+        rate = 0.3 * (1 - step / (passes * parts)) + 0.01
+        shared = spark.sparkContext.broadcast((model.table, units))
+
+        def learn(batches: Iterator[pa.RecordBatch], shared=shared, rate=rate, step=step) -> Iterator[pa.RecordBatch]:
+            from pyspark import TaskContext
+
+            pid = TaskContext.get().partitionId()
+            start, units = shared.value
+            mine = LogBilinear(units.contexts, units.targets, start.copy())
+
+            def cells() -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+                for b in batches:
+                    for _, texts in text_chunks(b.column(0), CHUNK):
+                        _, *grams = tokens(*words_of(texts), units)
+                        steps = -(-len(grams[0]) // BATCH)
+                        for k in range(steps):  # a batch has tokens from all over the texts
+                            yield tuple(g[k::steps] for g in grams)
+
+            met = mine.train(cells(), rate, 1000 * step + pid)
+            if met.any():
+                moved = (mine.table - start).astype(np.float16)
+                cut = range(0, len(met), BLOCK)
+                cols = [pa.array(range(len(cut)), pa.int32()), pa.array([pid] * len(cut), pa.int32()), pa.array([met[k : k + BLOCK].tobytes() for k in cut], pa.binary()), pa.array([moved[k : k + BLOCK].tobytes() for k in cut], pa.binary())]
+                yield pa.RecordBatch.from_arrays(cols, names=["block", "pid", "met", "moved"])
+
+        def average(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            """Moves weighed by how often a task met the row, summed as they come."""
+            sums: dict[int, list[np.ndarray]] = {}
+            for b in batches:
+                for block, met, moved in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
+                    weight = np.frombuffer(met, np.float32).astype(float) + 1e-3
+                    move = np.frombuffer(moved, np.float16).reshape(len(weight), -1) * weight[:, None]
+                    own = sums.setdefault(block, [np.zeros(len(weight)), np.zeros(move.shape)])
+                    own[0] += weight
+                    own[1] += move
+            for block, (weight, move) in sums.items():
+                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([(move / weight[:, None]).astype(np.float32).tobytes()], pa.binary())], names=["block", "move"])
+
+        rows = train.filter(F.col("part") % parts == step % parts).select("text")
+        moves = rows.mapInArrow(learn, "block int, pid int, met binary, moved binary").repartition(blocks, "block").sortWithinPartitions("block", "pid")
+        for r in moves.mapInArrow(average, "block int, move binary").collect():  # one row per block
+            at = slice(r["block"] * BLOCK, (r["block"] + 1) * BLOCK)
+            model.table[at] += np.frombuffer(r["move"], np.float32).reshape(-1, WIDTH + 1)
+        model.settle()
+        shared.destroy()
+    shared = spark.sparkContext.broadcast((model.table, units))
+
+    def normalise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, units = shared.value
+        own = LogBilinear(units.contexts, units.targets, table)
+        for b in batches:
+            for k in b.column(0).to_pylist():
+                rows = np.arange(STRIP * k, min(STRIP * k + STRIP, units.contexts))
+                yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([own.log_norms(rows).astype(np.float32).tobytes()], pa.binary())], names=["id", "norms"])
 
-class LogBilinear:
-    """Scores ``(C1 r[before] + C2 r[last]) . q[next] + b[next]``, trained on counted trigrams."""
-
-    def __init__(self, count: int, cells: np.ndarray, n: np.ndarray, seed: int = 5):
-        rng = np.random.default_rng(seed)
-        self.count = count
-        self.r = rng.normal(0, 0.1, (count, WIDTH))
-        self.q = rng.normal(0, 0.1, (count, WIDTH))
-        self.c = np.stack([np.eye(WIDTH), np.eye(WIDTH)])
-        single = np.bincount(cells % count, n, count) + 1.0
-        self.b = np.log(single / single.sum())
-        if len(cells):
-            self._train(rng, cells, n.astype(float), single / single.sum())
-
-    def _train(self, rng: np.random.Generator, cells: np.ndarray, n: np.ndarray, noise: np.ndarray) -> None:
-        """Noise-contrastive estimation over all cells by their counts; noise enters by its expectation, so nothing is drawn."""
-        heads, place = np.unique(cells // self.count, return_inverse=True)
-        seen = np.zeros((len(heads), self.count))
-        np.add.at(seen, (place, cells % self.count), n)
-        wrong = seen.sum(1, keepdims=True) * (NOISE * noise)
-        squares = [np.full_like(p, 1e-2) for p in (self.r, self.q, self.c, self.b)]
-        lift = np.log(NOISE * noise)
-        parts = -(-len(heads) // BATCH)
-        for step in range(PASSES * parts):
-            if step % parts == 0:
-                turns = np.array_split(rng.permutation(len(heads)), parts)
-            at = turns[step % parts]
-            h1, h2 = heads[at] // self.count, heads[at] % self.count
-            ctx = self.r[h1] @ self.c[0].T + self.r[h2] @ self.c[1].T
-            true = 1 / (1 + np.exp(-(ctx @ self.q.T + self.b - lift)))
-            table = seen[at] * (1 - true) - wrong[at] * true  # errors by context and unit
-            dctx = table @ self.q
-            hot = [np.zeros((self.count, len(at))) for _ in range(2)]
-            hot[0][h1, np.arange(len(at))] = 1
-            hot[1][h2, np.arange(len(at))] = 1
-            grads = (
-                hot[0] @ (dctx @ self.c[0]) + hot[1] @ (dctx @ self.c[1]),
-                table.T @ ctx,
-                np.stack([dctx.T @ self.r[h1], dctx.T @ self.r[h2]]),
-                table.sum(0),
-            )
-            rate = 0.3 * (1 - step / (PASSES * parts)) + 0.01
-            for p, g, s in zip((self.r, self.q, self.c, self.b), grads, squares, strict=True):
-                g /= n.sum() / parts
-                s += g * g
-                p += rate * g / np.sqrt(s)
-
-    def log10_table(self) -> np.ndarray:
-        """Normalised log10 probabilities of all (before, last, next), by batched matrix products."""
-        out = np.empty((self.count, self.count, self.count), np.float32)
-        second = self.r @ self.c[1].T
-        for i in range(self.count):
-            s = (self.r[i] @ self.c[0].T + second) @ self.q.T + self.b
-            top = s.max(1, keepdims=True)
-            out[i] = (s - top - np.log(np.exp(s - top).sum(1, keepdims=True))) / np.log(10)
-        return out.reshape(-1)
+    strips = -(-units.contexts // STRIP)
+    norms = spark.range(0, strips, 1, strips).mapInArrow(normalise, "id long, norms binary").collect()  # contexts x contexts cells
+    return model, np.concatenate([np.frombuffer(r["norms"], np.float32) for r in sorted(norms)]).reshape(-1, units.contexts)
 
 
 def language_scores(docs: DataFrame) -> DataFrame:
@@ -145,102 +251,86 @@ def language_scores(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").cast("binary").alias("text"), held_out(F.col("doc_id")).alias("held"))
-    train = src.filter("not held").select("text")
+    train = src.filter("not held").select("text", F.pmod(F.xxhash64("doc_id"), F.lit(840)).alias("part"))  # 840: all of 1 to 8 divide it
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
-
-        def flush() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays([pa.array(list(seen.keys()), pa.binary()), pa.array(list(seen.values()), pa.int64())], names=["word", "c"])
-            seen.clear()
-            return out
-
         for b in batches:
-            for text in b.column(0):
-                seen.update(words_of(text.as_py()))
-                seen[END] += 1
-                if len(seen) > 400_000:
-                    yield flush()
-        yield flush()
-
-    vocab = materialize(train.mapInArrow(count, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c")))
+            for _, texts in text_chunks(b.column(0), 2 * CHUNK):
+                _, words, place = words_of(texts)
+                yield pa.RecordBatch.from_arrays([words, pa.array(np.bincount(place, minlength=len(words)))], names=["word", "c"])
+            yield pa.RecordBatch.from_arrays([pa.array([END], pa.binary()), pa.array([b.num_rows], pa.int64())], names=["word", "c"])
+
+    counted = train.select("text").mapInArrow(count, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
+    vocab = materialize(counted.filter("c > 0"))
     total, distinct = vocab.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    top = vocab.filter((F.octet_length("word") <= SHORT) & (F.col("word") != END)).orderBy(F.col("c").desc(), "word").limit(HEAD).toArrow()
-    names, counts = top["word"].to_pylist(), top["c"].to_numpy()
-    own = names[:OWN_UNITS]
+    short = vocab.filter((F.octet_length("word") <= SHORT) & (F.col("word") != END))
+    # the least count with at most HEAD words from it on
+    steps = short.groupBy(F.least("c", F.lit(1 << 16)).alias("c")).count().orderBy(F.col("c").desc()).collect()
+    least, room = 1 << 62, HEAD
+    for r in steps:
+        if r["count"] > room:
+            break
+        least, room = r["c"], room - r["count"]
+    top = short.filter(F.col("c") >= least).toArrow().sort_by([("c", "descending"), ("word", "ascending")])
+    names, counts = top["word"].combine_chunks().cast(pa.binary()), top["c"].to_numpy()
+    n_own = int(min(UNITS, (counts >= LEAST_COUNT).sum()))
+    units = Units(names.slice(0, n_own).to_pylist())
     ends = vocab.filter(F.col("word") == END).first()
     ends = ends["c"] if ends else 0
 
-    def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units = Units(own)
-        sums = np.zeros(units.count**3, np.int64)
-        for b in batches:
-            keys, n = np.unique(np.concatenate([trigrams(words_of(t.as_py()), units) for t in b.column(0)] or [np.zeros(0, np.int64)]), return_counts=True)
-            sums[keys] += n
-        keys = np.flatnonzero(sums)
-        for at in range(0, len(keys), 100_000):
-            part = keys[at : at + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(sums[part])], names=["cell", "n"])
-
-    # at most one row per (unit, unit, unit), whatever the corpus
-    cells = train.mapInArrow(grams, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).orderBy("cell").toArrow()
-    model = LogBilinear(Units(own).count, cells["cell"].to_numpy(), cells["n"].to_numpy())
-
-    def forms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, v = np.zeros(FORMS, np.int64), np.zeros(FORMS, np.int64)
-        mine = set(own)
+    own = spark.sparkContext.broadcast(units.own)
+
+    def classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, v = np.zeros((2, CLASSES), np.int64)
         for b in batches:
-            for w, c in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                if w not in mine and w != END:
-                    f = form_of(w)
-                    n[f] += c
-                    v[f] += 1
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(FORMS)), pa.array(n), pa.array(v)], names=["f", "n", "v"])
-
-    mass = np.full(FORMS, SMOOTH)
-    for r in vocab.mapInArrow(forms, "f long, n long, v long").groupBy("f").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).collect():
-        mass[r["f"]] = r["n"] + SMOOTH * (r["v"] + 1)
-    shared = spark.sparkContext.broadcast((names, np.log10(counts + SMOOTH), own, model.log10_table(), np.log10(mass)))
+            rest = pc.and_(pc.invert(pc.is_in(b.column(0), value_set=own.value)), pc.not_equal(b.column(0), END))
+            words, c = b.column(0).filter(rest), b.column(1).filter(rest).to_numpy()
+            cls = class_of(words)
+            n += np.bincount(cls, c, CLASSES).astype(np.int64)
+            v += np.bincount(cls, minlength=CLASSES)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(CLASSES)), pa.array(n), pa.array(v)], names=["k", "n", "v"])
+
+    rest, kinds = np.zeros(CLASSES), np.zeros(CLASSES)
+    for r in vocab.mapInArrow(classes, "k long, n long, v long").groupBy("k").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).collect():
+        rest[r["k"]], kinds[r["k"]] = r["n"], r["v"]
+    model, norms = train_model(spark, train, units, np.concatenate([[ends], counts[:n_own], rest]).astype(float), total)
+    shared = spark.sparkContext.broadcast((names, np.log10(counts + SMOOTH), units, model.table, norms, np.log10(rest + SMOOTH * (kinds + 1))))
     all_mass = float(np.log10(total + SMOOTH * (distinct + 1)))
     end_share = float(np.log10(ends + SMOOTH))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        words, logs, own, table, mass = shared.value
-        head, units = dict(zip(words, logs.tolist(), strict=True)), Units(own)
-        pid, at = TaskContext.get().partitionId(), 0
-        columns = ["rid", "doc_id", "held_out", "n_tokens", "n_known", "base", "score", "words", "times"]
-        kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int32())]
+        names, logs, units, table, norms, mass = shared.value
+        model = LogBilinear(units.contexts, units.targets, table)
+        pid, row = TaskContext.get().partitionId(), 0
         for b in batches:
-            rows = []
-            for i in range(b.num_rows):
-                said = words_of(b.column(1)[i].as_py())
-                cells = trigrams(said, units)
-                own_log = float(table[cells].sum(dtype=np.float64))
-                form = cells % units.count - 1 - len(own)
-                own_log -= float(mass[form[form >= 0]].sum())
-                base, rest, times, known = end_share, [], [], 0
-                for w, n in Counter(said).items():
-                    share = head.get(w)
-                    if share is None:
-                        rest.append(w)
-                        times.append(n)
-                    else:
-                        known += n
-                        base += n * share
-                        if units[w] > len(own):
-                            own_log += n * share
-                rows.append((pid << 33 | at, b.column(0)[i].as_py(), b.column(2)[i].as_py(), len(said) + 1, known + (ends > 0), base - (len(said) + 1) * all_mass, own_log, rest, times))
-                at += 1
-            cols = list(zip(*rows, strict=True)) if rows else [()] * len(columns)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=columns)
+            for at, texts in text_chunks(b.column(1), CHUNK):
+                size = len(texts)
+                n, words, place = words_of(texts)
+                text, h1, h2, u = tokens(n, words, place, units)
+                p = model.log10(norms, h1, h2, u)
+                cls = u - 1 - len(units.own)
+                p[cls >= 0] -= mass[cls[cls >= 0]]
+                known = pc.index_in(words, value_set=names).fill_null(-1).to_numpy(zero_copy_only=False)
+                share = np.where(known >= 0, logs[np.maximum(known, 0)] if len(logs) else 0.0, 0.0)[place]
+                owner = np.repeat(np.arange(size), n)
+                head = known[place] >= 0
+                base = np.bincount(owner, share, size) + end_share - (n + 1) * all_mass
+                p[np.flatnonzero(u > 0)] += np.where(cls[u > 0] >= 0, share, 0.0)
+                rare, times = np.unique(owner[~head] * np.int64(max(len(words), 1)) + place[~head], return_counts=True)
+                lists = np.searchsorted(rare, np.arange(size + 1) * np.int64(max(len(words), 1))).astype(np.int32)
+                cols = [pa.array((pid << 33) + row + np.arange(size)), b.column(0).slice(at, size), b.column(2).slice(at, size), pa.array(n + 1), pa.array(np.bincount(owner, head, size).astype(np.int64) + (ends > 0)), pa.array(base), pa.array(np.bincount(text, p, size))]
+                cols += [pa.ListArray.from_arrays(pa.array(lists), words.take(pa.array(rare % max(len(words), 1)))), pa.ListArray.from_arrays(pa.array(lists), pa.array(times.astype(np.int32)))]
+                yield pa.RecordBatch.from_arrays(cols, names=["rid", "doc_id", "held_out", "n_tokens", "n_known", "base", "score", "words", "times"])
+                row += size
 
     scored = materialize(src.select("doc_id", "text", "held").mapInArrow(score, "rid long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, words array<binary>, times array<int>"))
     rare = scored.filter(F.size("words") > 0).select("rid", F.explode(F.arrays_zip("words", "times")).alias("w")).select("rid", F.col("w.words").alias("word"), F.col("w.times").alias("times"))
     found = rare.join(vocab, "word", "left")
     share = F.log10(F.coalesce("c", F.lit(0)) + SMOOTH) * F.col("times")
-    late = found.groupBy("rid").agg(F.sum(share).alias("late"), F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("late_known"))
+    late = materialize(found.groupBy("rid").agg(F.sum(share).alias("late"), F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("late_known")))
+    discard(vocab)
     late_sum = F.coalesce("late", F.lit(0.0))
     return scored.drop("words", "times").join(late, "rid", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("late_known", F.lit(0))).alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -383,24 +384,89 @@ def test_language_scores(docs, no_docs):
     assert lm.language_scores(no_docs).count() == 0
 
 
+def test_scores_equal_a_plain_loop(docs, monkeypatch):
+    """``score`` of every text from the model's own tables, one token at a time."""
+    used = {}
+
+    def known_model(spark, train, units, counts, total):
+        model = lm.LogBilinear.begin(units.contexts, counts, seed=3)
+        model.table[:, :-1] *= 8
+        model.settle()
+        used.update(model=model, units=units)
+        return model, model.log_norms(np.arange(units.contexts)).astype(np.float32)
+
+    monkeypatch.setattr(lm, "train_model", known_model)
+    monkeypatch.setattr(lm, "LEAST_COUNT", 5)
+    monkeypatch.setattr(lm, "CONTEXTS", 7)
+    monkeypatch.setattr(lm, "HEAD", 150)
+    out = lm.language_scores(docs).collect()
+    model, units = used["model"], used["units"]
+    own = [w[:-1] for w in units.own.to_pylist()]
+    data = rows()
+    said = [(r[1] or "").encode().lower().split() for r in data]
+    held = [zlib.crc32(("" if r[0] is None else str(r[0])).encode()) % 10 == 0 for r in data]
+    c = Counter(w for s, h in zip(said, held, strict=True) if not h for w in s)
+    assert len(own) > 7 and [c[w] for w in own] == sorted(c.values(), reverse=True)[: len(own)]
+    cls = {w: int(lm.class_of(pa.array([w + b" "], pa.binary()))[0]) for s in said for w in s}
+    mass = defaultdict(lambda: 0.1)
+    for w, n in c.items():
+        if w not in own:
+            mass[cls[w]] += n + 0.1
+    r1, r2, q, bias = model.r1.astype(float), model.r2.astype(float), model.q[:, :-1].astype(float), model.q[:, -1].astype(float)
+    want = []
+    for r, words in zip(data, said, strict=True):
+        before = last = 0
+        total = 0.0
+        for w in [*words, None]:
+            u = 0 if w is None else 1 + own.index(w) if w in own else 1 + len(own) + cls[w]
+            z = (r1[before] + r2[last]) @ q.T + bias
+            total += (z[u] - np.log(np.exp(z).sum())) / math.log(10)
+            if w is not None:
+                if w not in own:
+                    total += math.log10((c[w] + 0.1) / mass[cls[w]])
+                before, last = last, (1 + own.index(w) if w in own[:7] else 1 + 7 + cls[w])
+        want.append((str(r[0]), round(total / (len(words) + 1), 3)))
+    assert sorted((str(r["doc_id"]), round(r["score"] / r["n_tokens"], 3)) for r in out) == sorted(want)
+
+
+def test_words_are_those_of_split():
+    texts = [b"", b" \t", "Ab  cD\x0b\x0cä Ü\u00a0x\n".encode(), b"x" * 70_000 + b" y", b"a a A"]
+    n, words, place = lm.words_of(texts)
+    got = [w[:-1] for w in words.take(pa.array(place)).to_pylist()]
+    assert got == [w for t in texts for w in t.lower().split()] and n.tolist() == [len(t.split()) for t in texts]
+    units = lm.Units([b"a "])
+    text, before, last, nxt = lm.tokens(*lm.words_of([b"a b a", b"", b"a"]), units)
+    b = 2 + int(lm.class_of(pa.array([b"b "], pa.binary()))[0])
+    assert text.tolist() == [0, 0, 0, 0, 1, 2, 2]
+    assert list(zip(before.tolist(), last.tolist(), nxt.tolist())) == [(0, 0, 1), (0, 1, b), (1, b, 1), (b, 1, 0), (0, 0, 0), (0, 0, 1), (0, 1, 0)]
+
+
 def test_model_is_normalised_and_learns():
-    units = lm.Units([b"a", b"b"])
-    cells = np.concatenate([lm.trigrams(b"a b a b a b a b".split(), units)] * 50)
-    keys, n = np.unique(cells, return_counts=True)
-    table = lm.LogBilinear(units.count, keys, n).log10_table()
-    assert np.allclose((10.0 ** table.reshape(-1, units.count)).sum(1), 1, atol=1e-4)
-    assert 10 ** table[(1 * units.count + 2) * units.count + 1] > 0.7
-    for w in (b"x", b"123", "größe,".encode(), b"a" * 99 + b"."):
-        assert 0 <= lm.form_of(w) < lm.FORMS
-
-
-def test_language_model_trains_on_every_cell():
-    """The words before a trigram move however rare it is among the rest."""
-    count = 20
-    cells = np.array([(1 * count + 2) * count + 3, *((k * count + k) * count + 4 for k in range(5, 20))])
-    model = lm.LogBilinear(count, cells, np.array([10**12, *[1] * 15]))
-    start = np.random.default_rng(5).normal(0, 0.1, (count, lm.WIDTH))
-    assert (model.r != start).any(1)[5:].all()
+    units = lm.Units([b"a ", b"b "])
+    _, *grams = lm.tokens(*lm.words_of([b"a b " * 200] * 20), units)
+    counts = np.bincount(grams[2], minlength=units.targets).astype(float)
+    model = lm.LogBilinear.begin(units.contexts, counts)
+    model.train((tuple(g[k : k + 500] for g in grams) for k in list(range(0, len(grams[0]), 500)) * 20), 0.3, 1)
+    norms = model.log_norms(np.arange(units.contexts))
+    all_units = np.arange(units.targets)
+    for h1, h2 in ((0, 0), (1, 2), (2, 1), (9, 200)):
+        p = 10 ** model.log10(norms, np.full(len(all_units), h1), np.full(len(all_units), h2), all_units)
+        assert abs(p.sum() - 1) < 1e-4
+    assert 10 ** model.log10(norms, np.array([1]), np.array([2]), np.array([1]))[0] > 0.8 > counts[1] / counts.sum()
+
+
+def test_training_meets_every_token(spark, monkeypatch):
+    """Each row of the parameters that some text meets has moved, over several parts and passes."""
+    monkeypatch.setattr(lm, "ROUND", 300)
+    texts = [(i, " ".join(f"w{(i * 7 + k) % 90}" for k in range(60))) for i in range(20)]
+    units = lm.Units([f"w{k} ".encode() for k in range(40)])
+    _, h1, h2, u = lm.tokens(*lm.words_of([t.encode() for _, t in texts]), units)
+    counts = np.bincount(u, minlength=units.targets).astype(float)
+    train = spark.createDataFrame(texts, "doc_id long, text string").select(F.col("text").cast("binary").alias("text"), F.pmod(F.xxhash64("doc_id"), F.lit(840)).alias("part"))
+    model, norms = lm.train_model(spark, train, units, counts, len(u))
+    moved = (model.table != lm.LogBilinear.begin(units.contexts, counts).table).any(1)
+    met = np.unique(np.concatenate([h1, units.contexts + h2, 2 * units.contexts + u]))
+    assert moved[met].all() and norms.shape == (units.contexts, units.contexts)
 
 
 # ---- sentence spans
