@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from folio.llm.common import discard, group_key, identified, materialize, running_sum
@@ -66,11 +66,10 @@ def tilts(sized: DataFrame, targets: DataFrame, cap: int = 2, rounds: int = 80)
         step = F.col("tilt") - g / F.when(F.col("slope") > 0, F.col("slope"))
         safe = F.when((step > F.col("low")) & (step < F.col("high")), step).otherwise((F.col("low") + F.col("high")) / 2)
         small = F.abs(g) <= F.greatest(F.lit(0.25), F.col("target") * 1e-6)
-        unsettled = F.count(F.when(~small & (F.col("high") - F.col("low") > 1e-13), 1)).alias("open")
-        seen = Observation()
-        state, old = materialize(nxt.observe(seen, unsettled).select("src", "target", "scale", F.when(small, F.col("tilt")).otherwise(safe).alias("tilt"), "low", "high")), state
+        unsettled = ~small & (F.col("high") - F.col("low") > 1e-13)
+        state, old = materialize(nxt.select("src", "target", "scale", F.when(small, F.col("tilt")).otherwise(safe).alias("tilt"), "low", "high", unsettled.alias("open"))), state
         discard(old)
-        if not seen.get["open"]:
+        if state.filter("open").isEmpty():
             break
     return state.select("src", "scale", "tilt")
 
