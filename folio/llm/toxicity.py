@@ -12,9 +12,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from folio.llm.common import discard, materialize
+
 #: Labelled rows that the classifier is fitted on, at most (those with the smallest hash of the id).
 MAX_LABELLED = 20_000
-MAX_TERMS = 256
+#: Terms of the lexicon, entries that are looked at for them, and letters of a word that can be one, at most.
+MAX_TERMS, MAX_ENTRIES, MAX_LETTERS = 256, 4_000, 40
 #: Log odds that make a term, and a misspelled hit of one.
 LEAST = 2
 THRESHOLD = 0.3
@@ -130,7 +133,7 @@ def entries(text: str) -> set[str]:
     """What a text offers to the lexicon: its words (``word$``) and their beginnings of 4 to 9 letters."""
     out: set[str] = set()
     for w in set(WORD.findall(text.lower())):
-        if len(w) <= 40:
+        if len(w) <= MAX_LETTERS:
             out.add(w + "$")
             out.update(w[:k] for k in range(4, min(9, len(w)) + 1))
     return out
@@ -236,10 +239,14 @@ def logistic(x: np.ndarray, y: np.ndarray, prior: np.ndarray = PRIOR, rounds: in
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED) -> DataFrame:
-    """(doc_id, text, toxic) of at most ``most`` labelled training rows; the label side is bounded, so it is broadcast."""
+    """(doc_id, text, toxic) of at most ``most`` labelled training rows, one an id (of a repeated id the least text).
+
+    The label side is bounded, so it is broadcast; the result is written once, as it is read three times.
+    """
     known = labels.filter("doc_id is not null and toxic is not null").filter(~held_out(F.col("doc_id")))
     chosen = known.groupBy("doc_id").agg((F.max("toxic") >= 1).cast("int").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "toxic")
+    found = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
+    return materialize(found.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).select("doc_id", "text", "toxic"))
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> dict:
@@ -267,7 +274,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
 
     table = rows.mapInArrow(count, "entry string, n1 long, n0 long").groupBy("entry").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0")).filter("n1 >= 4 or entry = ''")
     worth = F.log((F.col("n1") + 0.5) / (F.col("n0") + 0.5)) * F.sqrt("n1")
-    top = table.orderBy(F.col("entry") != "", worth.desc(), "entry").limit(4001).collect()
+    top = table.orderBy(F.col("entry") != "", worth.desc(), "entry").limit(MAX_ENTRIES + 1).collect()
     toxic, clean = next(((r["n1"], r["n0"]) for r in top if r["entry"] == ""), (0, 0))
     terms = choose_terms([(r["entry"], r["n1"], r["n0"]) for r in top if r["entry"]], toxic, clean)
     names, weights = list(terms), list(terms.values())
@@ -293,6 +300,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
     got = rows.mapInArrow(measure, "x array<double>, y int").collect()  # at most MAX_LABELLED rows
     x = np.array([r["x"] for r in got], float).reshape(-1, len(PRIOR))
     y = np.array([r["y"] for r in got], float)
+    discard(rows)
     theta = PRIOR
     if len(x):  # misspelled hits weigh like plain ones as far as the data don't say otherwise
         plain = logistic(x, y)
@@ -333,7 +341,11 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that score under ``THRESHOLD``."""
+    """The rows of ``docs`` that score under ``THRESHOLD``.
+
+    Null and empty texts score the constant; null ids and repeated rows are ordinary rows; other
+    columns are carried along, whatever their names; an empty table gives no rows.
+    """
     model = fit(docs, labels)
     scored = score(docs.select(F.struct("*").alias("_row"), F.col("text").alias("_said")), model, "_said")
     return scored.filter(F.col("score") < THRESHOLD).select("_row.*")

@@ -184,6 +184,15 @@ def test_special_string_and_scripts_encode_like_the_tokenizer():
 # ---- toxicity
 
 
+def test_every_sign_encodes_like_the_tokenizer():
+    """Each code point between letters, digits, spaces and its own kind, against the tokenizer."""
+    enc = packing.Encoder(*vocabulary_paths())
+    for first in range(0, 0x30000, 64):
+        signs = [chr(c) for c in range(first, first + 64) if not 0xD800 <= c < 0xE000]
+        text = "".join(f"ab{c}cd {c}{c} 1{c}2\n{c}" for c in signs)
+        assert np.frombuffer(enc.ids(text), "<u4").tolist() == enc.whole.encode(text, add_special_tokens=False).ids, hex(first)
+
+
 def test_matcher_equals_edit_distance():
     def distance(a, b):
         d = list(range(len(b) + 1))
