@@ -1 +1 @@
-"""The query model has no streaming operator; compiled stateless queries also run on streaming DataFrames."""
+"""The query model has no streaming operator."""
