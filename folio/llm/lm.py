@@ -22,7 +22,7 @@ from folio.llm.simhash import LOWER, SPACE, text_chunks
 SMOOTH = 0.1
 #: A word is a unit of its own from this count on; so many of them at most; so many of these stand
 #: for themselves as context too, others by their class.
-LEAST_COUNT, UNITS, CONTEXTS = 16, 32_000, 1_000
+LEAST_COUNT, UNITS, CONTEXTS = 16, 32_000, 2_000
 #: Classes of all other words, by a hash of so many last bytes.
 CLASSES, SUFFIX = 248, 3
 #: Words whose counts every task holds, at most, each of at most ``SHORT`` bytes; others are joined.
@@ -32,7 +32,7 @@ END = b" "  # words are kept with one space behind; this is the empty one
 #: their expectation over ``DRAWN`` tokens of the batch, so noise is drawn by frequency. Tasks start
 #: from common parameters, and what they learn is averaged after every ``ROUND`` tokens (at most
 #: ``PARTS`` times a pass). A corpus of fewer tokens is gone over again, up to ``PASSES`` times.
-WIDTH, NOISE, DRAWN, BATCH, ROUND, PARTS, PASSES = 16, 16, 96, 3072, 1 << 24, 8, 12
+WIDTH, NOISE, DRAWN, BATCH, ROUND, PARTS, PASSES = 16, 32, 192, 3072, 1 << 24, 8, 12
 #: Length of a parameter row's vector at most.
 LONGEST = 6.0
 #: Bytes of text that are cut together, parameter rows that are sent together, and contexts whose normalisers are.
