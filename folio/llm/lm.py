@@ -28,6 +28,8 @@ CLASSES, SUFFIX = 248, 3
 #: Words whose counts every task holds, at most, each of at most ``SHORT`` bytes; others are joined.
 HEAD, SHORT = 400_000, 64
 END = b" "  # words are kept with one space behind; this is the empty one
+#: Bytes with A-Z lower-cased and every white space a space.
+FOLDED = np.where(SPACE, 0x20, LOWER).astype(np.uint8).tobytes()
 #: Training goes over all tokens, ``BATCH`` at a time, each against ``NOISE`` noise tokens; these enter by
 #: their expectation over ``DRAWN`` tokens of the batch, so noise is drawn by frequency. Tasks start
 #: from common parameters, and what they learn is averaged after every ``ROUND`` tokens (at most
@@ -45,8 +47,8 @@ def held_out(doc_id: Column) -> Column:
 
 def words_of(texts: list[bytes]) -> tuple[np.ndarray, pa.Array, np.ndarray]:
     """(words of each text, the distinct words with a space behind, each word's place among them); A-Z lower-cased."""
-    raw = LOWER[np.frombuffer(b" ".join([*texts, b""]), np.uint8)]
-    gap = SPACE[raw]
+    raw = np.frombuffer(b" ".join([*texts, b""]).translate(FOLDED), np.uint8)
+    gap = raw == 0x20
     first = ~gap
     first[1:] &= gap[:-1]
     ends = np.cumsum([0, *(len(t) + 1 for t in texts)])
@@ -54,7 +56,6 @@ def words_of(texts: list[bytes]) -> tuple[np.ndarray, pa.Array, np.ndarray]:
     keep = ~gap
     keep[1:] |= gap[1:] & ~gap[:-1]
     norm = raw[keep]
-    norm[SPACE[norm]] = 0x20
     offsets = np.concatenate([[0], np.flatnonzero(norm == 0x20) + 1]).astype(np.int32)
     found = pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(norm)]).dictionary_encode()
     return n, found.dictionary, found.indices.to_numpy()
@@ -130,15 +131,19 @@ class LogBilinear:
         """
         rng, met = np.random.default_rng(seed), np.zeros(len(self.table), np.int64)
         squares = np.full(len(self.table), 10, np.float32)
-        base, lift = np.int32(2 * self.contexts), self.q[:, WIDTH] + np.float32(np.log(NOISE))
+        base, log_noise = np.int32(2 * self.contexts), np.float32(np.log(NOISE))
         for h1, h2, u in batches:
             h2 = h2 + np.int32(self.contexts)
             ctx = self.table[h1] + self.table[h2]
-            ctx[:, WIDTH] = 1
+            ctx[:, WIDTH] = -1
             drawn = u[rng.integers(0, len(u), DRAWN)]
             q, qn = self.q[u], self.q[drawn]
-            right = 1 / (1 + np.exp(np.clip(np.einsum("ij,ij->i", ctx, q) - lift[u], -30, 30)))  # 1 - P(data)
-            wrong = np.float32(-NOISE / DRAWN) / (1 + np.exp(np.clip(lift[drawn] - ctx @ qn.T, -30, 30)))  # -P(data)
+            q[:, WIDTH] = qn[:, WIDTH] = log_noise  # a score over its noise: the biases cancel
+            with np.errstate(over="ignore"):  # past the largest float the quotient is 0
+                right = 1 / (1 + np.exp(np.einsum("ij,ij->i", ctx, q)))  # 1 - P(data)
+                wrong = np.exp(ctx @ -qn.T)
+            wrong += 1
+            np.divide(np.float32(-NOISE / DRAWN), wrong, out=wrong)  # -P(data)
             dctx = right[:, None] * q + wrong @ qn
             ctx[:, WIDTH] = dctx[:, WIDTH] = 0
             for ids, grads in ((np.concatenate([base + u, base + drawn]), np.concatenate([right[:, None] * ctx, wrong.T @ ctx])), (np.concatenate([h1, h2]), np.concatenate([dctx, dctx]))):
