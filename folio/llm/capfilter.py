@@ -21,10 +21,15 @@ from folio.llm.common import connected_components, materialize
 THRESHOLD = 0.93
 #: Independent product codes, blocks of each, directions per block at least, and the least score
 #: for a filter in standard deviations of a random direction's score.
-TABLES, BLOCKS, CODES, LEVEL = 2, 3, 22, 3.1
-#: Vectors of the largest label that these are for; more raise the level, so that a filter keeps
-#: about as many members, and the directions, so that a vector keeps about as many filters.
+TABLES, BLOCKS, CODES, LEVEL = 3, 3, 22, 3.1
+#: Vectors of one label that these are for; more raise the level, so that a filter keeps about as
+#: many members, and the directions, so that a vector keeps about as many filters.
 FOR_ROWS = 50_000
+#: Vectors of one label that every input's filters are laid out for, whatever its size: two vectors
+#: meet or not by themselves alone, never by how many others there are.
+LAID_OUT_FOR = 5_000_000
+#: The highest cap, as a cosine, of short vectors.
+CAP = 0.7
 #: Filters that each vector has in each code at least, as far as lower levels give them.
 FEWEST = 6
 #: Members of a filter compared in one piece; larger filters are split into pairs of pieces.
@@ -35,16 +40,29 @@ BUNDLE = 4096
 STRIP = 2048
 
 
+def _tail(z: float) -> float:
+    return math.erfc(z / math.sqrt(2)) / 2
+
+
 def scale_for(rows: int) -> tuple[int, float]:
     """(directions per block, level) for so many vectors of one label."""
-    tail = lambda z: math.erfc(z / math.sqrt(2)) / 2
-    share = tail(LEVEL) * min(1.0, FOR_ROWS / max(rows, 1))
+    share = _tail(LEVEL) * min(1.0, FOR_ROWS / max(rows, 1))
     low, high = LEVEL, 9.0
     while high - low > 1e-3:
         mid = (low + high) / 2
-        low, high = (mid, high) if tail(mid) > share else (low, mid)
+        low, high = (mid, high) if _tail(mid) > share else (low, mid)
     level = LEVEL if rows <= FOR_ROWS else low
-    return math.ceil(CODES * (tail(LEVEL) / share) ** (1 / BLOCKS) - 1e-9), level
+    return math.ceil(CODES * (_tail(LEVEL) / share) ** (1 / BLOCKS) - 1e-9), level
+
+
+def layout(width: int) -> tuple[int, float]:
+    """(directions per block, level) of the filters of vectors of this width; nothing else decides them."""
+    codes, level = scale_for(LAID_OUT_FOR)
+    most = max(LEVEL, CAP * math.sqrt(width))
+    if level > most:  # as many filters a vector under a lower cap
+        level = most
+        codes = math.ceil(CODES * (_tail(LEVEL) / _tail(level)) ** (1 / BLOCKS) - 1e-9)
+    return codes, level
 
 
 class ProductCode:
@@ -59,7 +77,7 @@ class ProductCode:
         for a, b in zip(self.cuts, self.cuts[1:], strict=False):
             book = rng.normal(size=(codes, b - a))
             self.books.append(book / np.linalg.norm(book, axis=1, keepdims=True) * np.sqrt((b - a) / width))
-        self.level = min(level / np.sqrt(width), 0.7)  # short vectors have no higher caps
+        self.level = min(level / np.sqrt(width), CAP)
 
     def decode(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(vector, filter) of every filter at or over the level, in order of vector, then filter.
@@ -137,8 +155,7 @@ def _compare(left: pd.DataFrame, right: pd.DataFrame, filt: int, same: bool, kin
         rows, a = np.unique(a, return_inverse=True)
         columns, b = np.unique(b, return_inverse=True)
         left, right = left.iloc[rows], right.iloc[columns]
-    fl, fr = ([np.frombuffer(x, "<i4") for x in side["filters"]] for side in (left, right))
-    a, b = _fresh(a, b, [[x[x < filt] for x in side] for side in (fl, fr)])
+    a, b = _fresh(a, b, [[x[x < filt] for x in side["filters"]] for side in (left, right)])
     if not len(a):
         return None
     nl, nr = len(left), len(right)
@@ -183,8 +200,9 @@ def near_duplicates(vectors: DataFrame) -> DataFrame:
 
     Rows link when labels are equal and not null and the cosine of their vectors, in double
     precision, is at least ``THRESHOLD``; null or zero vectors and those with null, NaN or infinite
-    components link with nothing. Equal vectors of one label form a class that is compared once and
-    counted as often as it has rows. Rows that link with nothing are their own component; repeated
+    components link with nothing. Whether a link is found depends on its two vectors alone, not on
+    the other rows. Equal vectors of one label form a class that is compared once and counted as
+    often as it has rows. Rows that link with nothing are their own component; repeated
     rows of one id are separate rows with that id. An empty table gives no rows.
     """
     x = F.col("embedding")
@@ -194,18 +212,17 @@ def near_duplicates(vectors: DataFrame) -> DataFrame:
     rows = materialize(src.withColumn("key", F.when(F.col("fine"), F.sha2(F.concat_ws(",", F.col("label"), F.col("v").cast("string")), 256))))
     classes = materialize(rows.filter("fine").groupBy("key").agg(F.min("vec_id").alias("id"), F.count("*").alias("n"), F.first("label").alias("label"), F.first("v").alias("v")).filter("id is not null"))
 
-    # labels are as many as they are; only the largest one's count comes here
-    size, level = scale_for(classes.groupBy("label").count().agg(F.coalesce(F.max("count"), F.lit(0))).first()[0])
     kind = "<f4" if dict(vectors.dtypes)["embedding"] == "array<float>" else "<f8"
 
-    def decode(batches: Iterator[pa.RecordBatch], full: bool) -> Iterator[pa.RecordBatch]:
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes: dict[int, list[ProductCode]] = {}
         for big in batches:
             for at in range(0, big.num_rows, 2000):
                 b = big.slice(at, 2000)
-                ids, n, label, vs = (b.column(i).to_pylist() for i in range(4))
+                label, vs = b.column(2).to_pylist(), b.column(3).to_pylist()
                 for width in sorted({len(v) for v in vs}):
                     pick = [i for i, v in enumerate(vs) if len(v) == width]
+                    size, level = layout(width)
                     if width not in codes:
                         codes[width] = [ProductCode(width, codes=size, seed=7 + t, level=level) for t in range(TABLES)]
                     raw = [np.array(vs[i], kind).tobytes() for i in pick]
@@ -213,19 +230,15 @@ def near_duplicates(vectors: DataFrame) -> DataFrame:
                     met = [c.decode(unit) for c in codes[width]]
                     who = np.concatenate([w for w, _ in met])
                     order = np.argsort(who, kind="stable")
-                    who, code = who[order], np.concatenate([c + t * size**BLOCKS for t, (_, c) in enumerate(met)])[order]
-                    own = np.searchsorted(who, np.arange(len(pick) + 1))
-                    mine = [code[own[i] : own[i + 1]].astype("<i4").tobytes() for i in range(len(pick))]
-                    cols = [pa.array([f"{kind}:{width}:{label[pick[i]]}" for i in who], pa.string()), pa.array(code, pa.int32())]
-                    names = ["label", "filter"]
-                    if full:
-                        cols += [pa.array([ids[pick[i]] for i in who], pa.int64()), pa.array([n[pick[i]] for i in who], pa.int64()), pa.array([raw[i] for i in who], pa.binary()), pa.array([mine[i] for i in who], pa.binary())]
-                        names += ["id", "n", "raw", "filters"]
-                    yield pa.RecordBatch.from_arrays(cols, names=names)
-
-    src = classes.select("id", "n", "label", "v")
-    met = src.mapInArrow(lambda it: decode(it, True), "label string, filter int, id long, n long, raw binary, filters binary")
-    names = src.mapInArrow(lambda it: decode(it, False), "label string, filter int")
+                    code = np.concatenate([c + t * size**BLOCKS for t, (_, c) in enumerate(met)])[order].astype(np.int32)
+                    own = np.searchsorted(who[order], np.arange(len(pick) + 1)).astype(np.int32)
+                    name = pa.array([f"{kind}:{width}:{label[i]}" for i in pick], pa.string())
+                    lists = pa.ListArray.from_arrays(pa.array(own), pa.array(code))
+                    yield pa.RecordBatch.from_arrays([name, b.column(0).take(pa.array(pick)), b.column(1).take(pa.array(pick)), pa.array(raw, pa.binary()), lists], names=["label", "id", "n", "raw", "filters"])
+
+    decoded = materialize(classes.select("id", "n", "label", "v").mapInArrow(decode, "label string, id long, n long, raw binary, filters array<int>"))
+    met = decoded.select("label", F.explode("filters").alias("filter"), "id", "n", "raw", "filters")
+    names = met.select("label", "filter")
     # bundles of neighbouring filters with a bounded number of members; one row per filter meets in the window
     before = F.sum("size").over(Window.partitionBy("label").orderBy("filter").rowsBetween(Window.unboundedPreceding, -1))
     sizes = names.groupBy("label", "filter").agg(F.count("*").alias("size")).filter("size > 1")

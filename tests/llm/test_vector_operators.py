@@ -106,3 +106,31 @@ def test_recall_at_the_threshold(rows):
         (wa, ca), (wb, cb) = code.decode(a), code.decode(b)
         met |= np.isin(np.arange(len(a)), np.intersect1d(wa * 10**9 + ca, wb * 10**9 + cb) // 10**9)
     assert met.mean() > 0.99
+
+
+def test_links_do_not_depend_on_the_other_rows(spark, monkeypatch):
+    """Pairs over the threshold link alike alone and among many rows; a limit under the rows stands for a large table."""
+    rng = np.random.default_rng(21)
+    a = rng.normal(size=(600, 64))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    z = rng.normal(size=a.shape)
+    z -= (z * a).sum(1, keepdims=True) * a
+    z /= np.linalg.norm(z, axis=1, keepdims=True)
+    few = np.concatenate([a, 0.9302 * a + np.sqrt(1 - 0.9302**2) * z])
+    many = np.concatenate([few, rng.normal(size=(1500, 64))])
+    monkeypatch.setattr(capfilter, "FOR_ROWS", 10)
+    links = []
+    for m in (few, many):
+        got = capfilter.near_duplicates(table(spark, m, [0] * len(m))).collect()
+        links.append({(r["vec_id"], r["n_links"], r["component_id"]) for r in got if r["vec_id"] < len(few)})
+    assert links[0] == links[1]
+
+
+def test_filters_of_short_vectors_stay_few():
+    for width in (20, 24, 30, 36, 48):
+        codes, level = capfilter.layout(width)
+        code = capfilter.ProductCode(width, codes=codes, level=level)
+        unit = np.random.default_rng(width).normal(size=(300, width))
+        who, _ = code.decode(unit / np.linalg.norm(unit, axis=1, keepdims=True))
+        assert capfilter.FEWEST <= len(who) / 300 < 40
+    assert capfilter.layout(64) == capfilter.scale_for(capfilter.LAID_OUT_FOR)
