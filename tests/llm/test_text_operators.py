@@ -319,6 +319,39 @@ def test_stage_drops_near_copies_at_similarity(spark, monkeypatch, block):
     assert sorted(r["doc_id"] for r in got.collect()) == sorted(low.values())
 
 
+@pytest.mark.parametrize("hot", [1024, 2])
+def test_near_copies_meet_by_fingerprint_segments(monkeypatch, hot):
+    """Texts at similarity 0.8, of many words and of eight and nine, are joined by segments of their SimHash; others are not."""
+    import pyarrow as pa
+
+    from folio.llm import nearcopies
+
+    monkeypatch.setattr(nearcopies, "HOT", hot)
+    texts = []
+    for i in range(300):
+        own = [f"w{i}_{k}" for k in range(200)]
+        texts += [" ".join(own), " ".join([*own[:179], *(f"x{i}_{k}" for k in range(21))])]  # 175 of 196 shingles
+        texts += [" ".join(own[50:58]), " ".join([*own[50:58], "more"])]  # 4 of 5
+    texts += [None, "", texts[0]]
+    out = next(nearcopies._sketches(iter([pa.record_batch({"text": texts, "node": list(range(len(texts)))})])))
+    fps = [np.frombuffer(x, np.uint64) for x in out.column("fp").to_pylist()]
+    assert fps[0][0] == simhash.fingerprints([texts[0].encode()], 5)[0] and not len(fps[-3]) and not len(fps[-2])
+    batches = nearcopies._segments(iter([pa.record_batch({"node": out.column("node"), "fp": out.column("fp")})]))
+    rows = next(batches)
+    first = "".join(f"{x:08b}" for x in fps[0][nearcopies.CHECKED :].view(np.uint8))
+    bits = [rows.column("key")[k].as_py() & (1 << nearcopies.SEGMENT) - 1 for k in range(3)]
+    assert bits == [int(first[nearcopies.SEGMENT * k : nearcopies.SEGMENT * (k + 1)][::-1], 2) for k in range(3)]
+    table = pa.Table.from_batches([rows, *batches]).sort_by("key")
+    root = list(range(len(texts)))
+    for b in nearcopies._meet(iter(table.to_batches(max_chunksize=1000))):
+        for x, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            if root[x] != root[y]:
+                old, new = max(root[x], root[y]), min(root[x], root[y])
+                root = [new if r == old else r for r in root]
+    want = [i - i % 2 for i in range(len(texts) - 3)]
+    assert root == [*want, len(texts) - 3, len(texts) - 2, 0]
+
+
 @pytest.mark.parametrize("hot", [10_000, 2])
 def test_links_connect_like_all_pairs(spark, monkeypatch, hot):
     """Clusters around random centres; a low limit sends every shared bucket down the block route."""
