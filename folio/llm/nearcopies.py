@@ -34,6 +34,8 @@ BUDGET, BUDGET_ALL = 24, 58
 BLOCK = 512
 #: Rows of whole buckets taken at a time, and rows of a bucket that is searched group by group.
 TAKEN, HOT = 1 << 15, 1024
+#: Edges contracted at a time.
+EDGES = 1 << 20
 
 
 def shingle_sets(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -147,6 +149,36 @@ def _lowest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
         low = nxt
 
 
+def _forest(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    """(a, b) batch of a star for each set of nodes that the edges join: every other node once, with the smallest."""
+    node, place = np.unique(np.concatenate([a, b]), return_inverse=True)
+    low = _lowest(place[: len(a)], place[len(a) :], len(node))
+    moved = np.flatnonzero(low != np.arange(len(node)))
+    return pa.RecordBatch.from_arrays([pa.array(node[moved]), pa.array(node[low[moved]])], names=["a", "b"])
+
+
+def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(a, b) batches in order of a to fewer edges that join the same nodes."""
+    held, n = [], 0
+    for batch in batches:
+        held.append([c.to_numpy() for c in batch.columns])
+        n += batch.num_rows
+        if n >= EDGES:
+            yield _forest(*(np.concatenate(c) for c in zip(*held, strict=True)))
+            held, n = [], 0
+    if n:
+        yield _forest(*(np.concatenate(c) for c in zip(*held, strict=True)))
+
+
+def _contracted(edges: DataFrame) -> DataFrame:
+    """Edges that join the same nodes as (a, b), about one a node.
+
+    A large group meets in many buckets or block pairs, each with a smallest node of its own. Here all
+    edges of a node come together, at most one from each of these, and its many leads become one star.
+    """
+    return edges.repartition("a").sortWithinPartitions("a").mapInArrow(_contract, "a long, b long")
+
+
 def _group(words: np.ndarray) -> np.ndarray:
     """``_lowest`` of one large bucket: whoever is found near leaves the rest, so a group of copies takes few rounds."""
     low, rest = np.arange(len(words)), np.arange(len(words))
@@ -162,7 +194,7 @@ def _group(words: np.ndarray) -> np.ndarray:
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, node, words) batches in order of key to (a, b): in each bucket all that are joined by near fingerprints, as stars."""
+    """(key, node, words) batches in order of key to (a, b): all that near fingerprints in some bucket join, as stars."""
     for key, node, *words in _buckets(batches):
         words = np.stack(words, 1).view(U)
         begin = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
@@ -181,7 +213,7 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             row = row[after[row] >= step]
         low = np.minimum(low, _lowest(np.concatenate(left), np.concatenate(right), len(key)))
         moved = np.flatnonzero(low != np.arange(len(key)))
-        yield pa.RecordBatch.from_arrays([pa.array(node[moved]), pa.array(node[low[moved]])], names=["a", "b"])
+        yield _forest(node[moved], node[low[moved]])
 
 
 def _sets(batches: Iterator[pa.RecordBatch], hit) -> Iterator[pa.RecordBatch]:
@@ -200,6 +232,7 @@ def _links(pdf):
     """Links of one block pair at ``SIMILAR`` or more, as a star per linked group: never all pairs."""
     import pandas as pd
 
+    pdf = pdf.sort_values("node")  # a star is led by its smallest, so that block pairs agree on few leads
     nodes, fps = pdf["node"].to_numpy(), np.stack([np.frombuffer(x, U, CHECKED) for x in pdf["fp"]])
     like = near(fps[:, None], fps[None, :])
     apart = like.sum(1) > 1
@@ -244,8 +277,8 @@ def near_copy_classes(docs: DataFrame) -> DataFrame:
     same = materialize(sketch.groupBy("d1", "d2").agg(F.min(F.struct("rid", "_file", "_at")).alias("one"), F.first("fp").alias("fp")).select("d1", "d2", "one.*", "fp").withColumnRenamed("rid", "node"))
     words = ", ".join(f"w{k} long" for k in range(CHECKED))
     keyed = same.filter("length(fp) > 0").select("node", "fp").mapInArrow(_segments, f"key int, node long, {words}")
-    met = keyed.repartition("key").sortWithinPartitions("key").mapInArrow(_meet, "a long, b long")
-    inside = materialize(connected_components(met, "a", "b").withColumnRenamed("component", "group"))
+    met = keyed.repartition("key").sortWithinPartitions("key", "node").mapInArrow(_meet, "a long, b long")
+    inside = materialize(connected_components(_contracted(met), "a", "b").withColumnRenamed("component", "group"))
     members = same.join(inside, "node").select("node", "_file", "_at", "fp")
     known = F.xxhash64("_file", "_at").alias("h")
     hit = bit_filter(members.select(known, F.shiftright(known, 24).alias("h2")), "h", "h2")
@@ -255,7 +288,7 @@ def near_copy_classes(docs: DataFrame) -> DataFrame:
     placed = inside.join(sizes, "group").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     pairs = placed.select("group", "node", F.least("own", "o").alias("x"), F.greatest("own", "o").alias("y")).join(sets, "node")
     links = pairs.groupBy("group", "x", "y").applyInPandas(_links, "a long, b long")
-    linked = connected_components(links, "a", "b")
+    linked = connected_components(_contracted(links), "a", "b")
     discard(inside, sizes, sets)
     named = sketch.select("_file", "_at", "id", "d1", "d2").join(same.select("d1", "d2", "node"), ["d1", "d2"]).join(linked, "node", "left")
     out = materialize(named.select("_file", "_at", "id", F.coalesce("component", "node").alias("root")))

@@ -352,6 +352,67 @@ def test_near_copies_meet_by_fingerprint_segments(monkeypatch, hot):
     assert root == [*want, len(texts) - 3, len(texts) - 2, 0]
 
 
+@pytest.mark.parametrize("block", [512, 40])
+def test_a_large_group_of_near_copies_sends_few_edges(spark, monkeypatch, block):
+    """Copies with none to four words changed meet in many buckets and block pairs, but no more than one edge a node and some leads are joined."""
+    from folio.llm import nearcopies
+
+    sent, real = [], nearcopies.connected_components
+
+    def counted(edges, a, b):
+        met = nearcopies.materialize(edges)
+        nodes = met.select(a).union(met.select(b)).distinct().count()
+        sent.append((met.filter(f"{a} <> {b}").distinct().count(), nodes))
+        return real(met, a, b)
+
+    monkeypatch.setattr(nearcopies, "BLOCK", block)
+    monkeypatch.setattr(nearcopies, "connected_components", counted)
+    rng, texts = np.random.default_rng(5), []
+    for i in range(500):
+        said = [f"w{k}" for k in range(80)]
+        for k in rng.integers(0, 80, i % 5):
+            said[k] = f"x{rng.integers(0, 10**6)}"
+        texts.append(" ".join(said))
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (t.split() for t in texts)]
+    root = list(range(len(sets)))
+    for i in range(len(sets)):
+        for j in range(i):
+            if root[i] != root[j] and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                root = [root[j] if x == root[i] else x for x in root]
+    low = {r: min(i for i in range(len(root)) if root[i] == r) for r in set(root)}
+    got = simhash.without_near_copies(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3))
+    assert sorted(r["doc_id"] for r in got.collect()) == sorted(low.values())
+    assert sent[0][1] > 350 and all(edges < 1.5 * nodes for edges, nodes in sent), sent
+
+
+@pytest.mark.parametrize("size", [1 << 20, 7])
+def test_contracted_edges_join_the_same_nodes(monkeypatch, size):
+    """Random edges, also in pieces: the same sets, no loop, at most one edge a node of a piece."""
+    import pyarrow as pa
+
+    from folio.llm import nearcopies
+
+    monkeypatch.setattr(nearcopies, "EDGES", size)
+    rng = np.random.default_rng(size)
+    edges = np.sort(rng.integers(0, 300, (260, 2)), axis=1)[:, ::-1]
+    edges = edges[np.argsort(edges[:, 0])]
+
+    def joined(pairs):
+        root = list(range(300))
+        for x, y in pairs:
+            if root[x] != root[y]:
+                old, new = max(root[x], root[y]), min(root[x], root[y])
+                root = [new if r == old else r for r in root]
+        return root
+
+    table = pa.table({"a": edges[:, 0].copy(), "b": edges[:, 1].copy()})
+    out = list(nearcopies._contract(iter(table.to_batches(max_chunksize=5))))
+    got = [p for b in out for p in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]
+    assert joined(got) == joined(edges.tolist()) and all(x > y for x, y in got)
+    assert all(len(set(b.column(0).to_pylist())) == b.num_rows for b in out)
+    assert list(nearcopies._contract(iter([]))) == []
+
+
 @pytest.mark.parametrize("hot", [10_000, 2])
 def test_links_connect_like_all_pairs(spark, monkeypatch, hot):
     """Clusters around random centres; a low limit sends every shared bucket down the block route."""
